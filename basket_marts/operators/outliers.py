@@ -20,8 +20,15 @@ def standardise(rows: DataFrame, measure: str, scale: int, threshold: float) ->
     Mean and deviation come from an uncorrelated scalar subquery: Spark evaluates it
     once and hands the row to every task. Both columns are NULL without a deviation.
     """
-    stats = spread_stats(rows, measure).select(F.struct("mean_rate", "stddev_rate")).scalar()
-    centred = F.col(measure) - stats.getField("mean_rate")
+    # Counting every column keeps the subquery reading the same columns as `rows`, so
+    # that Spark reuses the shuffle that made `rows` instead of running it again.
+    present = F.struct(*(F.count(c) for c in rows.columns)).alias("present")
+    stats = rows.agg(
+        F.struct(
+            F.avg(measure).alias("mean"), F.stddev_samp(measure).alias("stddev"), present
+        )
+    ).scalar()
+    centred = F.col(measure) - stats.getField("mean")
     return rows.withColumn(
-        "zscore", F.round(ratio(centred, stats.getField("stddev_rate")), scale)
+        "zscore", F.round(ratio(centred, stats.getField("stddev")), scale)
     ).withColumn("is_anomaly", flag(F.abs("zscore") > threshold))

@@ -95,7 +95,7 @@ def enrich_items(tables: SharedTables) -> DataFrame:
 
 @_query
 def mart_department_kpis(tables: SharedTables) -> DataFrame:
-    return marts.department_kpis(_items(tables), _labels(tables), _totals(tables))
+    return marts.department_kpis(tables.tagged_items(), _labels(tables), _totals(tables))
 
 
 @_query
@@ -158,7 +158,7 @@ def orphan_items(tables: SharedTables) -> DataFrame:
 def dq_report(tables: SharedTables) -> DataFrame:
     items, orders = _items(tables), tables.orders()
     frames = batch.mart_frames(
-        items,
+        tables.tagged_items(),
         _labels(tables),
         marts.product_totals(items),
         marts.orders_with_baskets(orders, marts.order_baskets(items)),
