@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -13,15 +13,13 @@ from basket_marts.operators import heavy_keys
 _MAX_BANDS = 64
 
 
-@dataclass(frozen=True)
 class SharedTables:
     """Raw basket tables, before cleaning, over `lineitem`, `orders` and `part`."""
 
-    spark: SparkSession
-    root: str
-
-    def _table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}.parquet")
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark = spark
+        # Each file's footer is read once per query, however often the query scans it.
+        self._table = cache(lambda name: spark.read.parquet(f"{root}/{name}.parquet"))
 
     # Items -------------------------------------------------------------------------
 
