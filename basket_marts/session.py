@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -66,13 +67,20 @@ def rows_per_split(spark: SparkSession) -> int:
     return int(spark.conf.get(ROWS_PER_SPLIT, str(DEFAULT_ROWS_PER_SPLIT)))
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="basket-marts-")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder the cluster names in `spark.checkpoint.dir`.
 
-    Only a session that names none (a test, a laptop) gets a local temporary folder.
+    A local session that names none (a test, a laptop) gets a temporary folder; on a
+    cluster other machines could not see one, so there the setting is required.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        shared = tempfile.mkdtemp(prefix="basket-marts-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = _local_folder()
     return f"{shared.rstrip('/')}/basket_marts/{label}-{uuid.uuid4().hex}"
