@@ -118,6 +118,7 @@ def metrics(spark: SparkSession, raw_root: str, lake_root: str, repeats: int = 5
 
     skew = key_skew(items, "product_id")
     total = items.agg(F.count(F.lit(1)).alias("n")).scalar()
+    # The field names of the metrics document.
     return skew.select(
         total.alias("rows_order_products"),
         F.lit(joins["shuffle_join"]).alias("testA_shuffle_join_sec"),

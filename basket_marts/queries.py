@@ -169,7 +169,9 @@ def dq_report(tables: SharedTables) -> DataFrame:
 @_query
 def dq_report_dirty(tables: SharedTables) -> DataFrame:
     items = cleaning.tagged_items(tables.prior_items(dirty=True), tables.train_items(dirty=True))
-    return quality.table_report(items, tables.orders(dirty=True), tables.products(dirty=True))
+    return quality.table_report(
+        items, tables.order_slots(dirty=True), tables.products(dirty=True)
+    )
 
 
 # Publishing and read side -----------------------------------------------------------

@@ -39,9 +39,10 @@ class SharedTables:
 
     # Orders ------------------------------------------------------------------------
 
-    def order_slots(self) -> DataFrame:
-        """Orders without the two columns that need each customer's history."""
-        return _timed(self._table("orders")).select("order_id", "order_dow", "order_hour_of_day")
+    def order_slots(self, dirty: bool = False) -> DataFrame:
+        """Each order's weekday and hour only: nothing that needs a customer's history."""
+        slots = _timed(self._table("orders")).select("order_id", "order_dow", "order_hour_of_day")
+        return _with_late_copies(slots) if dirty else slots
 
     def orders(self, dirty: bool = False) -> DataFrame:
         source = self._table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
@@ -58,10 +59,8 @@ class SharedTables:
         )
         if not dirty:
             return orders
-        late = F.when(F.col("order_id") % 10 == 0, F.array("order_hour_of_day", F.lit(23)))
-        hours = F.explode(F.coalesce(late, F.array("order_hour_of_day")))
         user = F.when(F.col("order_id") % 101 != 4, F.col("user_id"))
-        return orders.withColumns({"order_hour_of_day": hours, "user_id": user})
+        return _with_late_copies(orders.withColumn("user_id", user))
 
     # Dimensions --------------------------------------------------------------------
 
@@ -124,6 +123,12 @@ def _timed(orders: DataFrame) -> DataFrame:
     )
 
 
+def _with_late_copies(orders: DataFrame) -> DataFrame:
+    hour = F.col("order_hour_of_day")
+    twice = F.when(F.col("order_id") % 10 == 0, F.array(hour, F.lit(23)))
+    return orders.withColumn("order_hour_of_day", F.explode(F.coalesce(twice, F.array(hour))))
+
+
 def _twice(rows: DataFrame) -> DataFrame:
     return rows.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
 

@@ -10,7 +10,7 @@ from basket_marts import schemas
 from basket_marts.plans import batch, benchmark
 from basket_marts.plans.quality import ContractViolation
 from basket_marts.queries import QUERIES
-from basket_marts.session import scoped_conf
+from basket_marts.session import build_session, scoped_conf, scratch_path
 from basket_marts.sinks import to_parquet
 from basket_marts.sources import Lake, SharedTables
 
@@ -117,3 +117,17 @@ def test_settings_come_back_even_after_an_error(spark):
             assert spark.conf.get(key) == "-1"
             raise RuntimeError
     assert spark.conf.get(key, None) == before
+
+
+def test_session_takes_what_the_environment_and_caller_name(spark, monkeypatch):
+    monkeypatch.setenv("SPARK_SHUFFLE_PARTITIONS", "5")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    session = build_session("again", **{"spark.sql.ansi.enabled": "true"})
+    assert session.conf.get("spark.sql.shuffle.partitions") == "5"
+    session.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_scratch_paths_are_new_and_below_the_shared_folder(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert first != second and first.startswith(f"{shared}/") and second.startswith(f"{shared}/")

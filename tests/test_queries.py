@@ -2,7 +2,7 @@
 
 import duckdb
 import pytest
-from conftest import _sort_key, as_rows
+from conftest import _sort_key, as_rows, plan_of
 
 import __spark_entry__ as entry
 
@@ -44,3 +44,24 @@ def test_query_matches_oracle(spark, duck, folder, name):
     rows = [tuple(row[i] for i in positions) for row in expected.fetchall()]
     assert as_rows(frame) == sorted(rows, key=_sort_key)
     assert rows
+
+
+@pytest.mark.parametrize(
+    "name, present, absent",
+    [
+        ("enrich_items", "BroadcastHashJoin", "SortMergeJoin"),
+        ("join_broadcast", "BroadcastHashJoin", "SortMergeJoin"),
+        ("join_shuffle", "SortMergeJoin", "BroadcastHashJoin"),
+        ("mart_product_rank", "WindowGroupLimit", "NestedLoop"),
+        ("mart_aisle_reorder", "ReusedExchange", "NestedLoop"),
+    ],
+)
+def test_query_runs_the_plan_it_should(spark, folder, name, present, absent):
+    plan = plan_of(entry.queries()[name](spark, folder))
+    assert present in plan and absent not in plan
+    assert "CartesianProduct" not in plan and "Python" not in plan
+
+
+def test_scans_read_only_the_columns_they_need(spark, folder):
+    plan = plan_of(entry.queries()["key_skew"](spark, folder))
+    assert "FileScan parquet [l_orderkey#" in plan and "l_returnflag" not in plan
