@@ -1,6 +1,6 @@
 """Reusable DataFrame-to-DataFrame operators."""
 
-from basket_marts.operators.dedup import least_row_per_key
+from basket_marts.operators.dedup import least_row_per_key, least_tagged_pair_per_key
 from basket_marts.operators.joins import dimension_join, measured_bytes, salted_join
 from basket_marts.operators.outliers import standardise
 from basket_marts.operators.ranking import top_n_per_group
@@ -11,6 +11,7 @@ __all__ = [
     "heavy_keys",
     "key_skew",
     "least_row_per_key",
+    "least_tagged_pair_per_key",
     "measured_bytes",
     "salted_join",
     "standardise",

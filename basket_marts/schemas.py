@@ -22,8 +22,7 @@ TRAIN_ITEMS_FILE = "order_products__train.csv"
 # --- End of fixed values. -----------------------------------------------------------
 
 ITEM_KEYS = ("order_id", "product_id")
-# Remaining item columns in the order that decides which copy of a key survives.
-ITEM_SURVIVOR_ORDER = ("eval_set", "add_to_cart_order", "reordered")
+PRIOR, TRAIN = SPLITS = ("prior", "train")
 
 
 @dataclass(frozen=True)

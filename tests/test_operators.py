@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from conftest import as_rows, plan_of
 from pyspark.sql import functions as F
@@ -7,6 +9,7 @@ from basket_marts.operators import (
     heavy_keys,
     key_skew,
     least_row_per_key,
+    least_tagged_pair_per_key,
     measured_bytes,
     salted_join,
     standardise,
@@ -29,6 +32,25 @@ def test_copies_are_combined_before_the_shuffle(spark):
     assert "partial_min" in plan[exchange:] and plan.count("Exchange hashpartitioning") == 1
 
 
+def test_least_tagged_pair_keeps_the_same_row_as_the_struct_minimum(spark):
+    edge = [-(2**31), -1, 0, 1, 2, 2**31 - 1]
+    pick = random.Random(7).choice
+    rows = [
+        (pick(range(150)), pick("ab"), pick([None, *edge]), pick(edge)) for _ in range(1000)
+    ] + [(500, "b", None, 2**31 - 1), (501, "a", -(2**31), -(2**31))]
+    frame = spark.createDataFrame(rows, "k INT, tag STRING, x INT, y INT").repartition(5)
+    kept = least_tagged_pair_per_key(frame, ["k"], "tag", ["a", "b"], "x", "y")
+    assert kept.columns == frame.columns
+    assert as_rows(kept) == as_rows(least_row_per_key(frame, ["k"]))
+    assert "SortAggregate" not in plan_of(kept)
+
+
+def test_least_tagged_pair_refuses_unlisted_tags(spark):
+    frame = spark.createDataFrame([(1, "c", 1, 1)], "k INT, tag STRING, x INT, y INT")
+    with pytest.raises(Exception, match="tag is none of a, b"):
+        least_tagged_pair_per_key(frame, ["k"], "tag", ["a", "b"], "x", "y").collect()
+
+
 @pytest.fixture
 def skewed(spark):
     """One key in a third of the rows, NULL keys in another third."""
