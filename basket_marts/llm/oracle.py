@@ -1,5 +1,117 @@
-"""DuckDB SQL for the numbered operators that SQL can express, by query name."""
+"""DuckDB SQL for the numbered operators that SQL can express, by query name.
+
+Written from the operators' definitions, not from their plans: no digests stand for texts,
+no candidate search precedes a comparison.
+"""
 
 from __future__ import annotations
 
+from basket_marts.llm import licenses, line_dedup
+
 ORACLE: dict[str, str] = {}
+
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+ORACLE["op1_line_dedup"] = rf"""
+    WITH masked AS (
+        SELECT doc_id, coalesce(text, '') AS text,
+               string_split(regexp_replace(trim(regexp_replace(regexp_replace(
+                   coalesce(text, ''), '[^\S\n]+', ' ', 'g'), ' ?\n ?', chr(10), 'g')),
+                   '\S*[0-9]\S*', '<*>', 'g'), chr(10)) AS masked
+        FROM documents),
+    lines AS (
+        SELECT line, string_split(line, ' ') AS tokens, count(*) AS n_docs,
+               min(doc_id) AS first_doc, max(doc_id) AS last_doc
+        FROM (SELECT DISTINCT doc_id, unnest(masked) AS line FROM masked)
+        WHERE line <> '' GROUP BY line),
+    leaved AS (
+        SELECT *, len(tokens) || ' ' || array_to_string(tokens[1:{line_dedup.LEADING_TOKENS}], ' ')
+                   AS leaf
+        FROM lines),
+    placed AS (
+        SELECT leaf, line, n_docs, unnest(tokens) AS token,
+               unnest(range(1, len(tokens) + 1)) AS place
+        FROM leaved WHERE len(tokens) >= {line_dedup.MIN_TOKENS}),
+    fixed AS (
+        SELECT leaf, place, token FROM placed GROUP BY ALL
+        HAVING sum(n_docs) >= {line_dedup.MIN_DOCS}),
+    templates AS (
+        SELECT p.leaf, p.line,
+               string_agg(coalesce(f.token, '{line_dedup.FIELD}'), ' ' ORDER BY p.place) AS template
+        FROM placed p LEFT JOIN fixed f USING (leaf, place, token)
+        GROUP BY p.leaf, p.line
+        HAVING count(f.token) >= {line_dedup.SIMILARITY} * count(*)),
+    recurring AS (
+        SELECT leaf, template, min(first_doc) AS keeper
+        FROM templates JOIN leaved USING (leaf, line) GROUP BY leaf, template
+        HAVING sum(n_docs) >= {line_dedup.MIN_DOCS} AND max(last_doc) > min(first_doc)),
+    dropped AS (
+        SELECT line, min(keeper) AS keeper FROM (
+            SELECT line, first_doc AS keeper FROM lines WHERE n_docs >= {line_dedup.MIN_DOCS}
+            UNION ALL
+            SELECT line, keeper FROM templates JOIN recurring USING (leaf, template))
+        GROUP BY line),
+    gone AS (
+        SELECT doc_id, list(line) AS gone
+        FROM (SELECT DISTINCT doc_id, unnest(masked) AS line FROM masked)
+        JOIN dropped USING (line) WHERE doc_id <> keeper GROUP BY doc_id),
+    kept AS (
+        SELECT doc_id, string_split(text, chr(10)) AS line,
+               list_filter(range(1, len(masked) + 1),
+                   lambda i: NOT list_contains(coalesce(gone, []), masked[i])) AS places
+        FROM masked LEFT JOIN gone USING (doc_id)),
+    texts AS (
+        SELECT doc_id, len(line) AS n_lines, len(line) - len(places) AS n_dropped,
+               coalesce(array_to_string(list_transform(places, lambda i: line[i]), chr(10)), '') AS kept
+        FROM kept)
+    SELECT doc_id, n_lines, n_dropped, CAST(length(kept) AS BIGINT) AS kept_chars,
+           sha256(kept) AS kept_sha256
+    FROM texts"""
+
+ORACLE["op2_warc"] = """
+    WITH hashed AS (
+        SELECT page_id, sha1(coalesce(html, '')) AS payload_digest,
+               CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes
+        FROM pages),
+    originals AS (
+        SELECT payload_digest, payload_bytes, max(page_id) AS original
+        FROM hashed WHERE payload_bytes >= 1000 GROUP BY ALL)
+    SELECT page_id, payload_bytes, payload_digest,
+           CASE WHEN page_id < original THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN page_id < original THEN original END AS refers_to
+    FROM hashed LEFT JOIN originals USING (payload_digest, payload_bytes)"""
+
+
+def _canonical(text: str) -> str:
+    found = f"regexp_replace(lower(coalesce({text}, '')), {_literal(licenses.COPYRIGHT_LINE)}, '', 'g')"
+    found = rf"regexp_replace({found}, '[^\p{{L}}\p{{N}}\n]+', ' ', 'g')"
+    for one, other in licenses.SPELLINGS:
+        found = f"replace({found}, {_literal(one)}, {_literal(other)})"
+    return f"regexp_replace({found}, '(?m)^ +| +$', '', 'g')"
+
+
+def _one_line(lines: str) -> str:
+    return rf"trim(regexp_replace({lines}, '\s+', ' ', 'g'))"
+
+
+ORACLE["op9_licenses"] = rf"""
+    WITH texts(license_id, text) AS (VALUES
+        {", ".join(f"({_literal(i)}, {_literal(t)})" for i, t in licenses.known_licences())}),
+    known AS (
+        SELECT {_one_line(_canonical("text"))} AS unit, min(license_id) AS license_id
+        FROM texts GROUP BY unit),
+    canonical AS (SELECT doc_id, {_canonical("text")} AS lines FROM documents),
+    units AS (
+        SELECT doc_id, {_one_line("lines")} AS whole, {_one_line("lines")} AS unit FROM canonical
+        UNION
+        SELECT doc_id, {_one_line("lines")}, unnest(string_split(lines, chr(10))) FROM canonical
+        UNION
+        SELECT doc_id, {_one_line("lines")}, trim(regexp_replace(
+            unnest(string_split_regex(lines, '\n{{2,}}')), '\s+', ' ', 'g'))
+        FROM canonical)
+    SELECT doc_id, license_id, CASE WHEN unit = whole THEN 'text' ELSE 'part' END AS scope,
+           count(DISTINCT unit) AS n_units
+    FROM units JOIN known USING (unit) GROUP BY ALL"""

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basket_marts.llm import packing, token_counts
+from basket_marts.llm import licenses, line_dedup, packing, quality, quotes, token_counts, warc
 from basket_marts.llm.common import documents, vocabulary_path
+from basket_marts.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +20,38 @@ def _query(define: Query) -> Query:
     return define
 
 
+def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+@_query
+def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.dedup_summary(documents(spark, folder))
+
+
+@_query
+def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
+    records = warc.round_trip(_table(spark, folder, "pages"), scratch_path(spark, "warc"))
+    return records.select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+@_query
+def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality_scores(documents(spark, folder), _table(spark, folder, "labels"))
+
+
+@_query
+def op5_quotes(spark: SparkSession, folder: str) -> DataFrame:
+    return quotes.linked_conversations(_table(spark, folder, "conversations"))
+
+
+@_query
+def op9_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.license_matches(documents(spark, folder))
+
+
 @_query
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed_sequences(
