@@ -5,7 +5,10 @@ from pathlib import Path
 import pytest
 from pyspark.sql import SparkSession
 
-sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+ROOT = str(Path(__file__).resolve().parent.parent)
+sys.path.insert(0, ROOT)
+# Python workers of the test session import the package from here.
+os.environ["PYTHONPATH"] = os.pathsep.join([ROOT, os.getenv("PYTHONPATH", "")]).rstrip(os.pathsep)
 
 TESTDATA = os.getenv("TEST_SF_DIR", "/root/testdata/sf0.001")
 
