@@ -95,10 +95,10 @@ def fit_nnpu(
     positives: np.ndarray,
     unlabelled: np.ndarray,
     prior: float,
-    epochs: int = 40,
+    steps: int = 400,
     batch: int = 256,
     rate: float = 0.01,
-    decay: float = 1e-5,
+    decay: float = 5e-2,
 ) -> tuple[np.ndarray, float]:
     """Weights and bias of a logistic score that minimise the non-negative PU risk.
 
@@ -112,31 +112,24 @@ def fit_nnpu(
     mean, scale = unlabelled.mean(0), unlabelled.std(0) + 1e-3
     p_all = _standardised(positives, mean, scale)
     u_all = _standardised(unlabelled, mean, scale)
-    step = 0
-    for epoch in range(epochs):
-        u_order = rng.permutation(len(u_all))
-        for start in range(0, len(u_order), batch):
-            u = u_all[u_order[start : start + batch]]
-            p = p_all[rng.integers(0, len(p_all), batch)]
-            # Logistic losses: -log s(z) for positive, -log(1 - s(z)) for negative.
-            p_score, u_score = _sigmoid(p @ weights), _sigmoid(u @ weights)
-            negative_risk = (
-                -np.log1p(-np.minimum(u_score, 1 - 1e-9)).mean()
-                + prior * np.log1p(-np.minimum(p_score, 1 - 1e-9)).mean()
-            )
-            negative = u.T @ u_score / len(u) - prior * (p.T @ p_score) / len(p)
-            if negative_risk >= 0:
-                gradient = negative - prior * (p.T @ (1 - p_score)) / len(p)
-            else:
-                gradient = -negative
-            gradient[:-1] += decay * weights[:-1]
-            step += 1
-            first = 0.9 * first + 0.1 * gradient
-            second = 0.999 * second + 0.001 * gradient**2
-            speed = rate / (1 + epoch / 10)
-            weights -= (
-                speed * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
-            )
+    for step in range(1, steps + 1):
+        u = u_all[rng.integers(0, len(u_all), batch)]
+        p = p_all[rng.integers(0, len(p_all), batch)]
+        # Logistic losses: -log s(z) for positive, -log(1 - s(z)) for negative.
+        p_score, u_score = _sigmoid(p @ weights), _sigmoid(u @ weights)
+        negative_risk = prior * np.log1p(-np.minimum(p_score, 1 - 1e-9)).mean()
+        negative_risk -= np.log1p(-np.minimum(u_score, 1 - 1e-9)).mean()
+        negative = u.T @ u_score / batch - prior * (p.T @ p_score) / batch
+        if negative_risk >= 0:
+            gradient = negative - prior * (p.T @ (1 - p_score)) / batch
+        else:
+            gradient = -negative
+        gradient[:-1] += decay * weights[:-1]
+        first = 0.9 * first + 0.1 * gradient
+        second = 0.999 * second + 0.001 * gradient**2
+        size = rate * (1 - step / (steps + 1))
+        first_now, second_now = first / (1 - 0.9**step), second / (1 - 0.999**step)
+        weights -= size * first_now / (np.sqrt(second_now) + 1e-8)
     plain = weights[:-1] / scale
     return plain, float(weights[-1] - mean @ plain)
 
