@@ -85,6 +85,54 @@ ORACLE["op2_warc"] = """
     FROM hashed LEFT JOIN originals USING (payload_digest, payload_bytes)"""
 
 
+# Shingles as text; every window at which an item's shingle is aligned, compared in full.
+ORACLE["op6_decontaminate"] = rf"""
+    WITH texts AS (
+        SELECT 'd' AS kind, doc_id AS id, text FROM documents
+        UNION ALL SELECT 'b', item_id, text FROM benchmark),
+    worded AS (
+        SELECT kind, id, string_split(trim(regexp_replace(lower(coalesce(text, '')),
+                   '[^\p{{L}}\p{{N}}]+', ' ', 'g')), ' ') AS words
+        FROM texts),
+    items AS (
+        SELECT id AS item_id, words, len(words) AS length, least(len(words), 5) AS width
+        FROM worded WHERE kind = 'b' AND words <> ['']),
+    item_shingles AS (
+        SELECT item_id, length, width, place,
+               array_to_string(words[place + 1 : place + width], ' ') AS shingle
+        FROM (SELECT *, unnest(range(0, length - width + 1)) AS place FROM items)),
+    doc_shingles AS (
+        SELECT id AS doc_id, n_words, width, place,
+               array_to_string(words[place + 1 : place + width], ' ') AS shingle
+        FROM (SELECT id, words, len(words) AS n_words, width,
+                     unnest(range(0, len(words) - width + 1)) AS place
+              FROM worded, (SELECT DISTINCT width FROM items)
+              WHERE kind = 'd' AND words <> [''])),
+    windows AS (
+        SELECT DISTINCT d.doc_id, i.item_id, i.length, d.width,
+               least(greatest(d.place - i.place, 0), greatest(d.n_words - i.length, 0)) AS start
+        FROM doc_shingles d JOIN item_shingles i USING (width, shingle)),
+    window_weights AS (
+        SELECT w.doc_id, w.item_id, w.start, w.width, d.shingle, count(*) AS weight
+        FROM windows w JOIN doc_shingles d ON d.doc_id = w.doc_id AND d.width = w.width
+            AND d.place >= w.start AND d.place <= w.start + w.length - w.width
+        GROUP BY ALL),
+    item_weights AS (
+        SELECT item_id, shingle, count(*) AS weight FROM item_shingles GROUP BY ALL),
+    sizes AS (
+        SELECT doc_id, item_id, start, sum(weight) AS size FROM window_weights GROUP BY ALL),
+    shared AS (
+        SELECT w.doc_id, w.item_id, w.start, sum(least(w.weight, i.weight)) AS overlap
+        FROM window_weights w JOIN item_weights i USING (item_id, shingle) GROUP BY ALL),
+    item_sizes AS (SELECT item_id, count(*) AS item_size FROM item_shingles GROUP BY item_id),
+    compared AS (
+        SELECT doc_id, item_id, CAST(start AS INT) AS start,
+               CAST(overlap AS DOUBLE) / CAST(size + item_size - overlap AS DOUBLE) AS similarity
+        FROM shared JOIN sizes USING (doc_id, item_id, start) JOIN item_sizes USING (item_id))
+    SELECT doc_id, item_id, similarity, start FROM compared WHERE similarity >= 0.75
+    QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start) = 1"""
+
+
 def _canonical(text: str) -> str:
     found = f"regexp_replace(lower(coalesce({text}, '')), {_literal(licenses.COPYRIGHT_LINE)}, '', 'g')"
     found = rf"regexp_replace({found}, '[^\p{{L}}\p{{N}}\n]+', ' ', 'g')"

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basket_marts.llm import licenses, line_dedup, packing, quality, quotes, token_counts, warc
+from basket_marts.llm import decontaminate, licenses, line_dedup, packing, quality, quotes, token_counts, warc
 from basket_marts.llm.common import documents, vocabulary_path
 from basket_marts.session import scratch_path
 
@@ -52,6 +52,11 @@ def op9_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.license_matches(documents(spark, folder))
 
 
+@_query
+def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.leaks(documents(spark, folder), _table(spark, folder, "benchmark"))
+
+
 @_query
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed_sequences(
