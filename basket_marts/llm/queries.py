@@ -6,7 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basket_marts.llm import decontaminate, licenses, line_dedup, packing, quality, quotes, token_counts, warc
+from basket_marts.llm import (
+    decontaminate,
+    licenses,
+    line_dedup,
+    ngram_join,
+    packing,
+    quality,
+    quotes,
+    token_counts,
+    warc,
+)
 from basket_marts.llm.common import documents, vocabulary_path
 from basket_marts.session import scratch_path
 
@@ -57,6 +67,11 @@ def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.leaks(documents(spark, folder), _table(spark, folder, "benchmark"))
 
 
+@_query
+def op7_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.ngram_components(documents(spark, folder))
+
+
 @_query
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed_sequences(
