@@ -156,9 +156,10 @@ def license_matches(texts: DataFrame) -> DataFrame:
         F.array_union(F.split("lines", r"\n"), blocks), F.array(F.lit(""), F.col("whole"))
     )
     part = lambda scope: lambda unit: F.struct(F.lit(scope).alias("scope"), unit.alias("unit"))
+    # Outer, for else the optimizer filters empty arrays and computes each one twice.
     units = lines.withColumn("whole", whole).select(
         "doc_id",
-        F.explode(
+        F.explode_outer(
             F.concat(
                 F.array(part("text")(F.col("whole"))), F.transform(parts, part("part"))
             )
