@@ -43,6 +43,29 @@ def lookup_join(rows: DataFrame, lookup: DataFrame, on, how: str = "inner") -> D
     return rows.join(lookup, on, how)
 
 
+def row_key() -> Column:
+    """One number for a row's doc_id and whole text, NULLs included."""
+    return F.xxhash64("doc_id", "text")
+
+
+def pack_rest(rows: DataFrame) -> DataFrame:
+    """(doc_id, text, rest): all other columns in one, so that no name of theirs is in the
+    way of an operator's own.
+    """
+    others = [F.col(f"`{c}`") for c in rows.columns if c not in ("doc_id", "text")]
+    rest = F.struct(*others) if others else F.lit(None).cast("int")
+    return rows.select("doc_id", "text", rest.alias("rest"))
+
+
+def unpack_rest(packed: DataFrame, columns: list[str], **replaced: Column) -> DataFrame:
+    """Undo `pack_rest`, with some columns replaced or, behind the others, added."""
+    found = []
+    for name in dict.fromkeys([*columns, *replaced]):
+        own = F.col(name) if name in ("doc_id", "text") else F.col("rest").getField(name)
+        found.append(replaced.get(name, own).alias(name))
+    return packed.select(*found)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

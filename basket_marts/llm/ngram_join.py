@@ -25,7 +25,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basket_marts.llm.common import shuffle_width, stored, text_slices
+from basket_marts.llm.common import (
+    lookup_join,
+    pack_rest,
+    row_key,
+    shuffle_width,
+    stored,
+    text_slices,
+    unpack_rest,
+)
 from basket_marts.llm.components import connected_components
 from basket_marts.llm.shingles import shingle_sets
 
@@ -54,7 +62,9 @@ def _class_of(hashes: np.ndarray) -> int:
 
 
 def document_sets(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, set_class) per row; equal sets have one class, empty ones NULL."""
+    """(doc_id, row_key, n_shingles, set_class) per row; equal sets have one class, empty
+    ones NULL.
+    """
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, size=CHUNK_BYTES):
@@ -65,14 +75,16 @@ def document_sets(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
+                    batch.column("row_key"),
                     pa.array(sizes, type=pa.int64()),
                     pa.array(classes, type=pa.int64()),
                 ],
-                names=["doc_id", "n_shingles", "set_class"],
+                names=["doc_id", "row_key", "n_shingles", "set_class"],
             )
 
-    schema = "doc_id bigint, n_shingles bigint, set_class bigint"
-    return docs.select("doc_id", "text").mapInArrow(describe, schema)
+    schema = "doc_id bigint, row_key bigint, n_shingles bigint, set_class bigint"
+    keyed = docs.select("doc_id", row_key().alias("row_key"), "text")
+    return keyed.mapInArrow(describe, schema)
 
 
 # Fragments ----------------------------------------------------------------------------
@@ -407,15 +419,9 @@ def _links(near: DataFrame, families: DataFrame, n_tasks: int) -> DataFrame:
     return dealt.select(*columns).groupBy("task").applyInArrow(connect, "a bigint, b bigint")
 
 
-def ngram_components(docs: DataFrame) -> DataFrame:
-    """Per row of (doc_id, text): doc_id, n_shingles, component_id.
-
-    A set is the distinct `WIDTH`-word shingles of the whole text, or the whole sequence of
-    fewer words; NULL, empty and wordless texts have none and are linked with nothing, not
-    even each other. Two rows link when 100 * |intersection| >= PERCENT * |union|.
-    `component_id` is the least doc_id reachable by links, the row's own included; NULL ids
-    are passed over unless there is no other. Rows that repeat are linked like any two;
-    other columns are not read; an empty table gives no rows.
+def _rooted(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows with their set class, and (set_class, least_id, root) of the classes; linked
+    classes have one root.
     """
     spark = docs.sparkSession
     sets = stored(document_sets(docs), "sets")
@@ -427,17 +433,56 @@ def ngram_components(docs: DataFrame) -> DataFrame:
     joined = connected_components(links).select(
         F.col("node").alias("set_class"), F.col("component").alias("root")
     )
-    classes = sets.where("set_class IS NOT NULL").groupBy("set_class").agg(
-        F.min("doc_id").alias("least_id")
-    )
-    rooted = stored(
-        classes.join(joined, "set_class", "left").withColumn(
-            "root", F.coalesce("root", "set_class")
-        ),
-        "classes",
+    known = sets.where("set_class IS NOT NULL").groupBy("set_class")
+    classes = known.agg(F.min("doc_id").alias("least_id"))
+    root = F.coalesce("root", "set_class")
+    return sets, stored(
+        classes.join(joined, "set_class", "left").withColumn("root", root), "classes"
     )
+
+
+def ngram_components(docs: DataFrame) -> DataFrame:
+    """Per row of (doc_id, text): doc_id, n_shingles, component_id.
+
+    A set is the distinct `WIDTH`-word shingles of the whole text, or the whole sequence of
+    fewer words; NULL, empty and wordless texts have none and are linked with nothing, not
+    even each other. Two rows link when 100 * |intersection| >= PERCENT * |union|.
+    `component_id` is the least doc_id reachable by links, the row's own included; NULL ids
+    are passed over unless there is no other. Rows that repeat are linked like any two;
+    other columns are not read; an empty table gives no rows.
+    """
+    sets, rooted = _rooted(docs)
     least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
     of_class = rooted.join(least, "root").select("set_class", "component_id")
     return sets.join(of_class, "set_class", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
     )
+
+
+def first_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of `docs`, all columns, with one left of each group connected by links: that
+    of the least doc_id (a NULL one only where there is no other), of rows that share it the
+    one with the least hash of its text. Rows without shingles all stay.
+    """
+    sets, rooted = _rooted(docs)
+    grouped = sets.join(rooted.select("set_class", "root"), "set_class").select(
+        "root", F.struct(F.col("doc_id").isNull(), "doc_id", "row_key").alias("rank"), "row_key"
+    )
+    keepers = grouped.groupBy("root").agg(
+        F.min("rank").getField("row_key").alias("keeper"), F.count(F.lit(1)).alias("n_rows")
+    )
+    keepers = keepers.where("n_rows > 1").drop("n_rows")
+    members = stored(
+        grouped.join(keepers, "root").groupBy("row_key", "keeper").agg(F.count(F.lit(1)).alias("n")),
+        "members",
+    )
+    packed = pack_rest(docs)
+    gone = members.where("row_key <> keeper").select(F.col("row_key").alias("other_key"))
+    same = row_key() == F.col("other_key")
+    kept = lookup_join(packed, gone, same, "left_anti")
+    # Whole rows that repeat, id and text, are one group too.
+    repeated = members.where("row_key = keeper AND n > 1").select(F.col("row_key").alias("other_key"))
+    if not repeated.isEmpty():
+        once = lookup_join(packed, repeated, same).dropDuplicates(["other_key"]).drop("other_key")
+        kept = lookup_join(kept, repeated, same, "left_anti").unionByName(once)
+    return unpack_rest(kept, docs.columns)

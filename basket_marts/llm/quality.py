@@ -18,8 +18,9 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from basket_marts.llm.common import text_slices
+from basket_marts.llm.common import pack_rest, text_slices, unpack_rest
 from basket_marts.llm.shingles import word_hashes
 
 # Bounds of the fitting sample: about so many rows of each kind.
@@ -204,8 +205,8 @@ def train(texts: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
 
 
 def scores(texts: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame:
-    """All columns of `texts` with `score` (0 to 1) and `predicted`; of the input only
-    `text` is looked at. Columns of those names are replaced.
+    """All columns of `texts` with `score` (0 to 1) and `predicted` added or replaced; of the
+    input only `text` is looked at.
     """
     weights, bias = model
 
@@ -215,10 +216,17 @@ def scores(texts: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame:
             columns = [*batch.columns, pa.array(found, type=pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "score"])
 
-    texts = texts.drop("score", "predicted")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in texts.schema.fields)
-    scored = texts.mapInArrow(score, f"{schema}, score double")
-    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    packed = pack_rest(texts)
+    schema = T.StructType([*packed.schema.fields, T.StructField("score", T.DoubleType())])
+    predicted = (F.col("score") >= 0.5).cast("int")
+    scored = packed.mapInArrow(score, schema)
+    return unpack_rest(scored, texts.columns, score=F.col("score"), predicted=predicted)
+
+
+def good_texts(texts: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of `texts`, all columns, that are predicted good."""
+    scored = scores(pack_rest(texts), train(texts, labels))
+    return unpack_rest(scored.where("predicted = 1"), texts.columns)
 
 
 def quality_scores(texts: DataFrame, labels: DataFrame) -> DataFrame:

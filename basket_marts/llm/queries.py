@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from basket_marts.llm import (
     decontaminate,
+    iblt,
     licenses,
     line_dedup,
     ngram_join,
@@ -52,6 +53,11 @@ def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_scores(documents(spark, folder), _table(spark, folder, "labels"))
 
 
+@_query
+def op4_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return iblt.fingerprint_versions(documents(spark, folder))
+
+
 @_query
 def op5_quotes(spark: SparkSession, folder: str) -> DataFrame:
     return quotes.linked_conversations(_table(spark, folder, "conversations"))
