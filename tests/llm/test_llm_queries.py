@@ -1,0 +1,73 @@
+"""Registered queries of this subpackage, and those that SQL can express against it."""
+
+import os
+import re
+import subprocess
+import sys
+from pathlib import Path
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry
+from basket_marts.llm.oracle import ORACLE
+from basket_marts.llm.queries import QUERIES
+
+ROOT = Path(__file__).resolve().parents[2]
+
+
+def test_one_query_for_each_operator():
+    numbers = [int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES]
+    assert sorted(numbers) == list(range(1, 11))
+    assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
+    assert set(ORACLE) <= set(QUERIES) and set(ORACLE) <= set(entry.oracle_sql())
+
+
+@pytest.fixture(scope="module")
+def duck(small):
+    connection = duckdb.connect()
+    for table in ("documents", "pages", "benchmark"):
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{small}/{table}.parquet'")
+    return connection
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_query_matches_sql(spark, duck, small, name):
+    frame = QUERIES[name](spark, small)
+    expected = duck.execute(ORACLE[name])
+    names = [column[0] for column in expected.description]
+    assert sorted(names) == sorted(frame.columns)
+    rows = sorted(map(str, map(tuple, frame.select(*names).collect())))
+    assert rows and rows == sorted(map(str, expected.fetchall()))
+
+
+@pytest.mark.parametrize("name", ["op1_line_dedup", "op4_fingerprints", "op6_decontaminate", "op9_licenses"])
+def test_native_operators_run_no_python(spark, small, name):
+    plan = QUERIES[name](spark, small)._jdf.queryExecution().toString()
+    assert not re.search("Python|Arrow|Pandas|CartesianProduct|NestedLoop", plan)
+
+
+def test_nothing_else_imports_the_subpackage():
+    for path in (ROOT / "basket_marts").rglob("*.py"):
+        if "llm" not in path.parts:
+            assert "basket_marts.llm" not in path.read_text()
+
+
+def test_the_rest_works_without_it(tmp_path):
+    """The entry in a copy of the repository that lacks the subpackage."""
+    copy = tmp_path / "copy"
+    (copy / "basket_marts").mkdir(parents=True)
+    (copy / "__spark_entry__.py").symlink_to(ROOT / "__spark_entry__.py")
+    code = (ROOT / "__spark_entry__.py").read_text()
+    (copy / "__spark_entry__.py").unlink()
+    (copy / "__spark_entry__.py").write_text(code)
+    for path in (ROOT / "basket_marts").iterdir():
+        if path.name != "llm":
+            (copy / "basket_marts" / path.name).symlink_to(path)
+    (copy / "basket_marts" / "llm").mkdir()
+    told = subprocess.run(
+        [sys.executable, "-c", "import __spark_entry__ as e; print(*e.queries())"],
+        cwd=copy, capture_output=True, text=True, env=os.environ | {"PYTHONPATH": str(copy)},
+    )
+    names = told.stdout.split()
+    assert "mart_department_kpis" in names and not any(n.startswith("op") for n in names)
