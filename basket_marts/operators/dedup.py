@@ -5,6 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+
 def least_row_per_key(
     rows: DataFrame, keys: Sequence[str], survivor_order: Sequence[str] | None = None
 ) -> DataFrame:
@@ -26,8 +27,13 @@ def least_tagged_pair_per_key(
     A minimum over a struct can only be aggregated by sorting. Here every tag value has
     minima of its own over bigints: of both columns packed into one that sorts as the
     pair, and of `second` alone for rows whose `first` is NULL. `tags` lists all values
-    in ascending order; `first` and `second` are INT and `second` is never NULL.
+    in ascending order; `second` is never NULL. Where a column is wider than INT, the pair
+    does not fit a bigint and the survivor is found by sorting after all.
     """
+    narrow = {"tinyint", "smallint", "int"}
+    types = dict(rows.dtypes)
+    if not {types[first], types[second]} <= narrow:
+        return least_row_per_key(rows, keys, [tag, first, second])
     # The low half is shifted to 0 .. 2^32 - 1, so that it sorts as the unsigned half it is.
     packed = f"(shiftleft(CAST({first} AS BIGINT), 32) | ({second} + {2**31}L))"
     low_half = f"CAST((%s & {2**32 - 1}L) - {2**31}L AS INT)"

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,18 +12,34 @@ from basket_marts.session import broadcast_limit
 _WORD = 8
 
 
+def _value_bytes(field: T.StructField) -> Column | None:
+    """Bytes of a value beyond its word in the row, for types that have any."""
+    column = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        return F.octet_length(column) + _WORD
+    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+        # Every nested value has at least two characters here and at most two words there.
+        return _WORD * F.octet_length(F.to_json(F.struct(column)))
+    if isinstance(field.dataType, T.AtomicType):
+        return None
+    raise TypeError(f"cannot tell the size of {field.dataType.simpleString()}")
+
+
 def measured_bytes(table: DataFrame) -> int:
-    """Size of `table` as Spark holds its rows in memory: a null word and one word per
-    column, plus the bytes of variable-length values. One small aggregate, one row back.
+    """Size of `table` as Spark holds its rows in memory, nested values from above: a null
+    word and one word per column, plus the bytes of variable-length values. One small
+    aggregate, one row back.
     """
-    texts = [
-        field.name
-        for field in table.schema.fields
-        if isinstance(field.dataType, (T.StringType, T.BinaryType))
-    ]
-    text_bytes = sum((F.coalesce(F.octet_length(c) + _WORD, F.lit(0)) for c in texts), F.lit(0))
-    row_bytes = F.lit(_WORD * (1 + len(table.columns))) + text_bytes
-    return table.agg(F.sum(row_bytes.cast("bigint"))).first()[0] or 0
+    extra = [b for b in map(_value_bytes, table.schema.fields) if b is not None]
+    row_bytes = F.lit(_WORD * (1 + len(table.columns))).cast("bigint")
+    for value_bytes in extra:
+        row_bytes = row_bytes + F.coalesce(value_bytes, F.lit(0))
+    return table.agg(F.sum(row_bytes)).first()[0] or 0
+
+
+def _sent_if_small(table: DataFrame) -> DataFrame:
+    small = measured_bytes(table) <= broadcast_limit(table.sparkSession)
+    return F.broadcast(table) if small else table
 
 
 def dimension_join(
@@ -49,7 +65,7 @@ def salted_join(
     with a NULL key never match, and are spread as well. `how` is inner, left or left_anti.
     """
     spark = rows.sparkSession
-    heavy = F.broadcast(heavy_keys(rows, key))
+    heavy = _sent_if_small(heavy_keys(rows, key))
     spread = F.xxhash64(*spread_by)
     null_splits = spark.conf.get("spark.sql.shuffle.partitions")
     salted_rows = rows.join(heavy, key, "left").withColumn(

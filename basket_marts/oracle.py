@@ -12,8 +12,9 @@ _CTE = {
         SELECT l_orderkey AS order_id, l_partkey AS product_id,
                l_linenumber AS add_to_cart_order,
                CAST(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS INT) AS reordered,
-               CASE l_linestatus WHEN 'F' THEN 'prior' ELSE 'train' END AS eval_set
-        FROM lineitem WHERE l_linestatus IN ('F', 'O')""",
+               CASE l_linestatus WHEN 'F' THEN 'prior' WHEN 'O' THEN 'train'
+                    ELSE error('a line of neither split') END AS eval_set
+        FROM lineitem""",
     "items": """
         SELECT order_id, product_id, add_to_cart_order, reordered, eval_set
         FROM (SELECT *, row_number() OVER (
@@ -26,8 +27,9 @@ _CTE = {
                l_linenumber AS add_to_cart_order,
                CAST(CASE WHEN l_partkey % 83 = 7 THEN 2 WHEN l_partkey % 89 = 5 THEN NULL
                     WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS INT) AS reordered,
-               CASE l_linestatus WHEN 'F' THEN 'prior' ELSE 'train' END AS eval_set
-        FROM lineitem WHERE l_linestatus IN ('F', 'O')""",
+               CASE l_linestatus WHEN 'F' THEN 'prior' WHEN 'O' THEN 'train'
+                    ELSE error('a line of neither split') END AS eval_set
+        FROM lineitem""",
     "raw_orders": """
         SELECT o_orderkey AS order_id, o_custkey AS user_id, 'prior' AS eval_set,
                CAST(row_number() OVER customer AS INT) AS order_number,
@@ -36,7 +38,8 @@ _CTE = {
                CAST(date_diff('day', lag(o_orderdate) OVER customer, o_orderdate) AS DOUBLE)
                    AS days_since_prior_order
         FROM orders
-        WINDOW customer AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)""",
+        WINDOW customer AS (PARTITION BY o_custkey
+            ORDER BY o_orderdate NULLS FIRST, o_orderkey NULLS FIRST)""",
     "dirty_orders": """
         SELECT order_id, CASE WHEN order_id % 101 = 4 THEN NULL ELSE user_id END AS user_id,
                eval_set, order_number, order_dow, order_hour_of_day, days_since_prior_order
@@ -146,6 +149,27 @@ def _all(name: str) -> str:
     return _sql(f"SELECT * FROM {name}", name)
 
 
+def _batch(select: str) -> str:
+    """`select` over the marts and cleaned tables of a batch that starts from the dirty view.
+
+    The cleaned tables take the place of the plain ones that the marts are defined over.
+    """
+    cleaned = {
+        "items": ORACLE["clean_order_products"],
+        "raw_orders_kept": ORACLE["clean_orders"],
+        "products": f"""
+            SELECT product_id, min(product_name) AS product_name,
+                   min(aisle_id) AS aisle_id, min(department_id) AS department_id
+            FROM ({_sql("SELECT * FROM dirty_products", "dirty_products")})
+            WHERE product_id IS NOT NULL GROUP BY product_id""",
+    }
+    later = ["aisles", "departments", "enriched", "baskets", "ordered", "aisle_rate"]
+    steps = cleaned | {name: _CTE[name] for name in [*later, *MART_CONTRACTS]}
+    steps["ordered"] = steps["ordered"].replace("raw_orders", "raw_orders_kept")
+    ctes = ",\n".join(f"{name} AS ({sql})" for name, sql in steps.items())
+    return f"WITH {ctes}\n{select}"
+
+
 def _first_copy(source: str, keys: str, order: str, columns: str) -> str:
     return f"""SELECT {columns} FROM (
         SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY {order}) AS copy
@@ -300,7 +324,7 @@ ORACLE: dict[str, str] = {
         "dirty_orders",
         "dirty_products",
     ),
-    "published_product_rank": _all("mart_product_rank"),
+    **{name.replace("mart_", "published_"): _all(name) for name in MART_CONTRACTS},
     "hourly_pivot": _sql(
         f"SELECT order_dow, {_hours()} FROM mart_hourly_demand GROUP BY order_dow",
         "mart_hourly_demand",
@@ -311,6 +335,7 @@ ORACLE: dict[str, str] = {
         "mart_department_kpis",
     ),
     "join_shuffle": _JOIN_COUNT,
+    "join_preaggregated": _JOIN_COUNT,
     "join_broadcast": _JOIN_COUNT,
     "reordered_counts": _sql(
         "SELECT reordered, count(*) AS n_items FROM items GROUP BY reordered", "items"
@@ -325,3 +350,42 @@ ORACLE: dict[str, str] = {
         "items",
     ),
 }
+
+ORACLE["published_user_cohort"] = ORACLE["mart_user_cohort_cap10"]
+ORACLE["lake_row_counts"] = _batch(
+    "\nUNION ALL\n".join(
+        f"SELECT '{table}' AS table_name, count(*) AS n_rows FROM {source}"
+        for table, source in (
+            ("products", "products"),
+            ("aisles", "aisles"),
+            ("departments", "departments"),
+            ("orders", "raw_orders_kept"),
+            ("order_products", "items"),
+        )
+    )
+)
+ORACLE["batch_marts"] = _batch(
+    "\nUNION ALL\n".join(
+        f"SELECT '{mart}' AS mart, {key} AS key, {n} AS n, CAST({figure} AS DOUBLE) AS figure FROM {mart}"
+        for mart, key, n, figure in (
+            ("mart_department_kpis", "department", "n_orders", "reorder_rate"),
+            ("mart_aisle_reorder", "aisle", "n_items", "zscore"),
+            (
+                "mart_product_rank",
+                "department || ' ' || CAST(rnk AS VARCHAR) || ' ' || product_name",
+                "n_items",
+                "NULL",
+            ),
+            (
+                "mart_hourly_demand",
+                "CAST(order_dow AS VARCHAR) || ' ' || CAST(order_hour AS VARCHAR)",
+                "n_orders",
+                "avg_basket_size",
+            ),
+            ("mart_user_cohort", "CAST(order_number AS VARCHAR)", "n_orders", "reorder_rate"),
+        )
+    )
+)
+ORACLE["dq_report_lake"] = _batch(
+    _checks(*_table_checks("items", "raw_orders_kept", "products"), *_mart_checks())
+)

@@ -86,14 +86,18 @@ def build_marts(spark: SparkSession, lake_root: str) -> dict[str, int]:
         return {name: write_compact(rows, lake.mart_path(name)) for name, rows in frames.items()}
 
 
-def check_quality(spark: SparkSession, lake_root: str) -> list:
-    """Raise `ContractViolation` if any check on lake or marts fails."""
+def lake_report(spark: SparkSession, lake_root: str) -> DataFrame:
+    """The contract checks over the tables and marts of a lake."""
     lake = Lake(spark, lake_root)
-    report = quality.quality_report(
+    return quality.quality_report(
         *(lake.table(name) for name in ("order_products", "orders", "products")),
         marts={name: lake.mart(name) for name in MART_CONTRACTS},
     )
-    return quality.enforce(report)
+
+
+def check_quality(spark: SparkSession, lake_root: str) -> list:
+    """Raise `ContractViolation` if any check on lake or marts fails."""
+    return quality.enforce(lake_report(spark, lake_root))
 
 
 def publish(spark: SparkSession, lake_root: str, writer: Writer) -> dict[str, int]:

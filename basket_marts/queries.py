@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from basket_marts import schemas
 from basket_marts.operators import skew
 from basket_marts.operators.outliers import spread_stats
 from basket_marts.plans import batch, benchmark, cleaning, marts, quality, reads
 from basket_marts.schemas import DIMENSIONS, MART_CONTRACTS
-from basket_marts.session import scratch_path
+from basket_marts.session import session_path
 from basket_marts.sinks import publish_mart, to_parquet
-from basket_marts.sources import SharedTables, read_csv
+from basket_marts.sources import Lake, SharedTables, read_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -177,11 +179,24 @@ def dq_report_dirty(tables: SharedTables) -> DataFrame:
 # Publishing and read side -----------------------------------------------------------
 
 
-@_query
-def published_product_rank(tables: SharedTables) -> DataFrame:
-    name, root = "mart_product_rank", scratch_path(tables.spark, "published")
-    publish_mart(mart_product_rank(tables), name, MART_CONTRACTS[name], to_parquet(root))
-    return tables.spark.read.parquet(f"{root}/{name}")
+def _published(name: str, mart: Callable[[SharedTables], DataFrame]) -> None:
+    """A mart published as Parquet and read back."""
+
+    def query(tables: SharedTables) -> DataFrame:
+        root = session_path(tables.spark, "published", tables.root)
+        publish_mart(mart(tables), name, MART_CONTRACTS[name], to_parquet(root))
+        return tables.spark.read.parquet(f"{root}/{name}")
+
+    query.__name__ = name.replace("mart_", "published_")
+    _query(query)
+
+
+_published("mart_department_kpis", mart_department_kpis)
+_published("mart_aisle_reorder", mart_aisle_reorder)
+_published("mart_product_rank", mart_product_rank)
+_published("mart_hourly_demand", mart_hourly_demand)
+# Uncapped, the last cohort may be one order without items; such a mart is refused.
+_published("mart_user_cohort", mart_user_cohort_cap10)
 
 
 @_query
@@ -199,6 +214,11 @@ def departments_by_rate(tables: SharedTables) -> DataFrame:
 
 @_query
 def join_shuffle(tables: SharedTables) -> DataFrame:
+    return benchmark.shuffle_join_count(_items(tables), tables.products())
+
+
+@_query
+def join_preaggregated(tables: SharedTables) -> DataFrame:
     return benchmark.merged_join_count(_items(tables), tables.products())
 
 
@@ -215,10 +235,10 @@ def reordered_counts(tables: SharedTables) -> DataFrame:
 @_query
 def csv_scan_counts(tables: SharedTables) -> DataFrame:
     """Both splits written as headered CSV, read back as one table, counted."""
-    root = scratch_path(tables.spark, "csv")
+    root = session_path(tables.spark, "csv", tables.root)
     files = {f"{root}/prior": tables.prior_items(), f"{root}/train": tables.train_items()}
     for path, rows in files.items():
-        rows.write.csv(path, header=True)
+        rows.write.mode("overwrite").csv(path, header=True)
     schema = "order_id BIGINT, product_id BIGINT, add_to_cart_order INT, reordered INT"
     return benchmark.reordered_counts(read_csv(tables.spark, list(files), schema))
 
@@ -226,3 +246,68 @@ def csv_scan_counts(tables: SharedTables) -> DataFrame:
 @_query
 def key_skew(tables: SharedTables) -> DataFrame:
     return skew.key_skew(_items(tables), "product_id")
+
+
+# The batch --------------------------------------------------------------------------
+
+
+def _cleaned_lake(tables: SharedTables) -> tuple[str, dict[str, int]]:
+    """The dirty view as raw CSV files, cleaned into a lake; its folder and rows written."""
+    root = session_path(tables.spark, "batch", tables.root)
+    raw = {
+        schemas.ORDERS_FILE: tables.orders(dirty=True),
+        schemas.PRIOR_ITEMS_FILE: tables.prior_items(dirty=True),
+        schemas.TRAIN_ITEMS_FILE: tables.train_items(dirty=True),
+    }
+    dimensions = (
+        tables.products(dirty=True),
+        tables.aisles(dirty=True),
+        tables.departments(dirty=True),
+    )
+    raw |= {dimension.file: rows for dimension, rows in zip(DIMENSIONS, dimensions)}
+    for file, rows in raw.items():
+        rows.write.mode("overwrite").csv(f"{root}/raw/{file}", header=True)
+    return f"{root}/lake", batch.clean(tables.spark, f"{root}/raw", f"{root}/lake")
+
+
+@_query
+def lake_row_counts(tables: SharedTables) -> DataFrame:
+    """Rows of each table as observed while the lake was written."""
+    _, written = _cleaned_lake(tables)
+    return tables.spark.createDataFrame(list(written.items()), "table_name string, n_rows bigint")
+
+
+@_query
+def batch_marts(tables: SharedTables) -> DataFrame:
+    """All marts of a batch over the dirty view, read back, in one frame."""
+    root, _ = _cleaned_lake(tables)
+    batch.build_marts(tables.spark, root)
+    lake = Lake(tables.spark, root)
+    none = F.lit(None).cast("double")
+    hour = F.concat_ws(" ", "order_dow", "order_hour")
+    place = F.concat_ws(" ", "department", "rnk", "product_name")
+    shapes = {
+        "mart_department_kpis": (F.col("department"), "n_orders", F.col("reorder_rate")),
+        "mart_aisle_reorder": (F.col("aisle"), "n_items", F.col("zscore")),
+        "mart_product_rank": (place, "n_items", none),
+        "mart_hourly_demand": (hour, "n_orders", F.col("avg_basket_size")),
+        "mart_user_cohort": (F.col("order_number").cast("string"), "n_orders", F.col("reorder_rate")),
+    }
+    parts = [
+        lake.mart(name).select(
+            F.lit(name).alias("mart"),
+            key.alias("key"),
+            F.col(n).alias("n"),
+            figure.alias("figure"),
+        )
+        for name, (key, n, figure) in shapes.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@_query
+def dq_report_lake(tables: SharedTables) -> DataFrame:
+    """The contract checks over a lake and marts as a batch has written them."""
+    root, _ = _cleaned_lake(tables)
+    batch.build_marts(tables.spark, root)
+    return batch.lake_report(tables.spark, root)

@@ -54,8 +54,8 @@ class MartContract:
         return "reorder_rate" in self.columns
 
 
-# Unsigned published integers take the next Spark type that holds them:
-# 64 bit -> bigint, 32/16/8 bit -> int.
+# --- Fixed values: names, columns and types of the published marts. Unsigned published
+# integers take the next Spark type that holds them: 64 bit -> bigint, 32/16/8 bit -> int.
 MART_CONTRACTS: dict[str, MartContract] = {
     "mart_department_kpis": MartContract(
         columns={
@@ -111,3 +111,4 @@ MART_CONTRACTS: dict[str, MartContract] = {
         sort_by=("order_number",),
     ),
 }
+# --- End of fixed values. -----------------------------------------------------------

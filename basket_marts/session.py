@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 import uuid
@@ -72,8 +73,8 @@ def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="basket-marts-")
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path below the shared folder the cluster names in `spark.checkpoint.dir`.
+def _scratch_root(spark: SparkSession) -> str:
+    """The shared folder the cluster names in `spark.checkpoint.dir`.
 
     A local session that names none (a test, a laptop) gets a temporary folder; on a
     cluster other machines could not see one, so there the setting is required.
@@ -83,4 +84,46 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = _local_folder()
-    return f"{shared.rstrip('/')}/basket_marts/{label}-{uuid.uuid4().hex}"
+    return f"{shared.rstrip('/')}/basket_marts"
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path in the shared scratch folder."""
+    return f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def session_path(spark: SparkSession, label: str, source: str) -> str:
+    """The path in the scratch folder that this session keeps for what it makes of `source`:
+    to be overwritten, so that repeated runs leave one copy.
+    """
+    key = hashlib.sha256(source.encode()).hexdigest()[:16]
+    return f"{_scratch_root(spark)}/{spark.sparkContext.applicationId}/{label}-{key}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it lies, if it is there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def replace_folder(spark: SparkSession, staged: str, target: str) -> None:
+    """Move a finished folder to where another may be. The other is set aside first and put
+    back if the move fails, so that one of them is always there whole.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    new, place = path(staged), path(target)
+    aside = path(place.getParent(), f".{place.getName()}-{uuid.uuid4().hex}")
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(place.getParent())
+    had_one = files.exists(place)
+    if had_one and not files.rename(place, aside):
+        raise OSError(f"cannot set {target} aside")
+    try:
+        if not files.rename(new, place):
+            raise OSError(f"cannot move {staged} to {target}")
+    except BaseException:
+        if had_one:
+            files.rename(aside, place)
+        raise
+    if had_one:
+        files.delete(aside, True)

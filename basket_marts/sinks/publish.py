@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from basket_marts.schemas import MartContract
-from basket_marts.session import scratch_path
+from basket_marts.session import remove_folder, replace_folder, scratch_path
 
 Writer = Callable[[DataFrame, str], None]
 
@@ -27,8 +28,28 @@ def conform(mart: DataFrame, contract: MartContract) -> DataFrame:
     return typed.orderBy(*contract.sort_by)
 
 
+class ParquetFolder:
+    """Published marts as folders below one root. A mart is staged beside its place and
+    moved there when it is whole.
+    """
+
+    def __init__(self, root: str):
+        self.root = root.rstrip("/")
+
+    def staging_path(self, name: str) -> str:
+        return f"{self.root}/.staged-{name}-{uuid.uuid4().hex}"
+
+    def put(self, spark: SparkSession, staged: str, name: str) -> None:
+        replace_folder(spark, staged, f"{self.root}/{name}")
+
+    def __call__(self, rows: DataFrame, name: str) -> None:
+        staged = self.staging_path(name)
+        rows.write.parquet(staged)
+        self.put(rows.sparkSession, staged, name)
+
+
 def to_parquet(root: str) -> Writer:
-    return lambda rows, name: rows.write.mode("overwrite").parquet(f"{root}/{name}")
+    return ParquetFolder(root)
 
 
 def to_catalog(database: str) -> Writer:
@@ -50,26 +71,34 @@ def to_jdbc(url: str, **options: str) -> Writer:
 
 
 def publish_mart(mart: DataFrame, name: str, contract: MartContract, writer: Writer) -> int:
-    """Stage the typed mart, check it in the same pass, then replace the published one.
+    """Stage the typed, sorted mart, check it in the same pass, then replace the published
+    one. Returns the number of rows.
 
-    Work and checks happen while staging, so a failure leaves the published mart as it
-    was and a re-run replaces it with the same rows. Returns the number of rows.
+    Work and checks happen while staging, so a failure there leaves the published mart as it
+    was. Below a `ParquetFolder` the staged folder itself is moved into place: one sort, one
+    write. Other writers read it once more. Nothing staged is left behind.
     """
     spark = mart.sparkSession
-    staged_at = scratch_path(spark, f"staged-{name}")
+    is_folder = isinstance(writer, ParquetFolder)
+    staged = writer.staging_path(name) if is_folder else scratch_path(spark, f"staged-{name}")
     observed = Observation()
     checks = [F.count(F.lit(1)).alias("rows")]
     checks += [F.count_if(F.col(c).isNull()).alias(f"{c} is NULL") for c in contract.columns]
     checks += [F.count_if(F.col(c) < 0).alias(f"{c} is negative") for c in contract.unsigned]
-    conform(mart, contract).observe(observed, *checks).write.parquet(staged_at)
-
-    counts = dict(observed.get)
-    n_rows = counts.pop("rows")
-    broken = {check: n for check, n in counts.items() if n}
-    if broken:
-        raise PublishError(f"{name}: {broken}")
-    staged = spark.read.schema(_ddl(contract)).parquet(staged_at)
-    writer(staged.orderBy(*contract.sort_by), name)
+    try:
+        conform(mart, contract).observe(observed, *checks).write.parquet(staged)
+        counts = dict(observed.get)
+        n_rows = counts.pop("rows")
+        broken = {check: n for check, n in counts.items() if n}
+        if broken:
+            raise PublishError(f"{name}: {broken}")
+        if is_folder:
+            writer.put(spark, staged, name)
+        else:
+            rows = spark.read.schema(_ddl(contract)).parquet(staged)
+            writer(rows.orderBy(*contract.sort_by), name)
+    finally:
+        remove_folder(spark, staged)
     return n_rows
 
 

@@ -7,35 +7,49 @@ from functools import cache
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from basket_marts.operators import heavy_keys
-
-# A customer too large for one task is cut by date and by this many order-key bands.
-_MAX_BANDS = 64
+from basket_marts.schemas import PRIOR, TRAIN
+from basket_marts.session import scratch_path
 
 
 class SharedTables:
     """Raw basket tables, before cleaning, over `lineitem`, `orders` and `part`."""
 
     def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
+        self.spark, self.root = spark, root
         # Each file's footer is read once per query, however often the query scans it.
         self._table = cache(lambda name: spark.read.parquet(f"{root}/{name}.parquet"))
 
     # Items -------------------------------------------------------------------------
 
     def tagged_items(self) -> DataFrame:
-        """Items of both splits with their `eval_set`, in one scan."""
-        split = F.when(F.col("l_linestatus") == "F", "prior").otherwise("train")
-        lines = self._table("lineitem").where(F.col("l_linestatus").isin("F", "O"))
-        return lines.select(*_item_columns(dirty=False), split.alias("eval_set"))
+        """Items of both splits with their `eval_set`, in one scan. A line of neither split
+        is an error, not left out.
+        """
+        status = F.col("l_linestatus")
+        split = (
+            F.when(status == "F", PRIOR)
+            .when(status == "O", TRAIN)
+            .otherwise(F.raise_error(F.concat(F.lit("unknown line status "), status)))
+        )
+        # The condition is true for every line; it asks for the split also where nothing
+        # else does. A NULL status makes a NULL message, which is an error as well.
+        lines = self._table("lineitem").withColumn("eval_set", split)
+        return lines.where("eval_set IS NOT NULL").select(*_item_columns(dirty=False), "eval_set")
+
+    def _items_of(self, split: str, dirty: bool) -> DataFrame:
+        status = {PRIOR: "F", TRAIN: "O"}[split]
+        other = ~F.col("l_linestatus").isin("F", "O") | F.col("l_linestatus").isNull()
+        unknown = F.raise_error(F.lit("a line of neither split")).cast("boolean")
+        lines = self._table("lineitem").where(
+            F.when(other, unknown).otherwise(F.col("l_linestatus") == status)
+        )
+        return lines.select(*_item_columns(dirty))
 
     def prior_items(self, dirty: bool = False) -> DataFrame:
-        lines = self._table("lineitem").where(F.col("l_linestatus") == "F")
-        return lines.select(*_item_columns(dirty))
+        return self._items_of(PRIOR, dirty)
 
     def train_items(self, dirty: bool = False) -> DataFrame:
-        lines = self._table("lineitem").where(F.col("l_linestatus") == "O")
-        return lines.select(*_item_columns(dirty))
+        return self._items_of(TRAIN, dirty)
 
     # Orders ------------------------------------------------------------------------
 
@@ -142,56 +156,50 @@ def _with_null_row(rows: DataFrame) -> DataFrame:
 
 def _with_history(orders: DataFrame) -> DataFrame:
     """Add `order_number` and `previous_date`: the order's position among its customer's
-    orders by (date, key), and the date of the one before it.
+    orders by (date, key), NULLs first, and the date of the one before it.
 
-    A customer with more orders than one task should hold is cut into stretches, one
-    per date and band of order keys. Orders are numbered within a stretch, and the
-    orders in earlier stretches are added from a small table. For every other customer
-    the stretch is the whole history. All rows keep the one shuffle by stretch.
+    Orders are range-partitioned by (customer, date, key), so a customer with very many
+    orders, or the orders without one, spread over as many parts as their rows fill. Orders
+    are numbered within a part; what the customer has in earlier parts is added from a table
+    with at most a row per part. The ranges are stored, for they are sampled anew each time.
     """
-    lowest, highest = F.min("o_orderkey").alias("lowest"), F.max("o_orderkey").alias("highest")
-    heavy = heavy_keys(orders, "o_custkey", lowest, highest).select(
-        "o_custkey",
-        "lowest",
-        F.expr(f"(highest - lowest) div least(splits, {_MAX_BANDS}) + 1").alias("band_width"),
-    )
-    is_heavy = F.col("band_width").isNotNull()
-    cut = orders.join(F.broadcast(heavy), "o_custkey", "left").select(
+    spark = orders.sparkSession
+    by = ["o_custkey", "o_orderdate", "o_orderkey"]
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, "order-ranges")
+    ranged = orders.repartitionByRange(width, *by).withColumn("part", F.spark_partition_id())
+    ranged.write.parquet(path)
+    ranged = spark.read.schema(ranged.schema).parquet(path)
+
+    within = Window.partitionBy("part", "o_custkey").orderBy("o_orderdate", "o_orderkey")
+    numbered = ranged.select(
         *orders.columns,
-        is_heavy.alias("is_heavy"),
-        F.when(is_heavy, F.col("o_orderdate")).alias("date_cut"),
-        F.when(is_heavy, F.expr("(o_orderkey - lowest) div band_width"))
-        .otherwise(F.lit(0))
-        .alias("band"),
+        "part",
+        F.row_number().over(within).alias("position"),
+        F.lag("o_orderdate").over(within).alias("date_within"),
     )
-    # A light customer's date_cut is NULL: one stretch to the window, no match to the join.
-    stretch = ["o_custkey", "date_cut", "band"]
-
-    earlier = Window.partitionBy("o_custkey").orderBy("date_cut", "band")
+    earlier = Window.partitionBy("customer").orderBy("of_part")
     before = (
-        cut.where("is_heavy")
-        .groupBy(*stretch)
+        ranged.groupBy(F.col("part").alias("of_part"), F.col("o_custkey").alias("customer"))
         .agg(F.count(F.lit(1)).alias("n_orders"), F.max("o_orderdate").alias("last_date"))
         .select(
-            *stretch,
+            "of_part",
+            "customer",
             F.sum("n_orders")
             .over(earlier.rowsBetween(Window.unboundedPreceding, -1))
             .alias("orders_before"),
             F.lag("last_date").over(earlier).alias("date_before"),
         )
+        .where("orders_before IS NOT NULL")
     )
-    within = Window.partitionBy(*stretch).orderBy("o_orderdate", "o_orderkey")
-    numbered = cut.select(
-        *orders.columns,
-        "date_cut",
-        "band",
-        F.row_number().over(within).alias("position"),
-        F.lag("o_orderdate").over(within).alias("date_within"),
-    )
-    return numbered.join(before, stretch, "left").select(
+    # Only the first customer of a part can have orders in an earlier one.
+    same = F.col("o_custkey").eqNullSafe(F.col("customer")) & (F.col("part") == F.col("of_part"))
+    return numbered.join(F.broadcast(before), same, "left").select(
         *orders.columns,
         (F.col("position") + F.coalesce("orders_before", F.lit(0)))
         .cast("int")
         .alias("order_number"),
-        F.coalesce("date_within", "date_before").alias("previous_date"),
+        F.when(F.col("position") == 1, F.col("date_before"))
+        .otherwise(F.col("date_within"))
+        .alias("previous_date"),
     )

@@ -167,3 +167,17 @@ def test_key_skew(spark):
     measured = key_skew(spark.createDataFrame(keys, "k INT"), "k").first()
     assert tuple(measured) == (7, 2, 3.5)
     assert tuple(key_skew(spark.createDataFrame([], "k INT"), "k").first()) == (None, None, None)
+
+
+def test_pairs_wider_than_int_keep_a_row_that_exists(spark):
+    rows = spark.createDataFrame(
+        [(1, "a", 2**33, 0), (1, "a", 5, 1), (1, "b", 0, 0)], "k INT, tag STRING, p BIGINT, q INT"
+    )
+    kept = least_tagged_pair_per_key(rows, ["k"], "tag", ["a", "b"], "p", "q")
+    assert as_rows(kept) == [(1, 5, 1, "a")]
+
+
+def test_nested_columns_count_towards_the_size(spark):
+    table = spark.range(1).selectExpr("id", "sequence(1, 10000) AS numbers")
+    assert measured_bytes(table) > 80_000
+    assert measured_bytes(spark.range(10)) == 10 * 16

@@ -1,10 +1,15 @@
 """Every registered query against its SQL, on the shared tables."""
 
+import re
+
 import duckdb
 import pytest
 from conftest import _sort_key, as_rows, plan_of
 
 import __spark_entry__ as entry
+from basket_marts.oracle import ORACLE
+from basket_marts.queries import QUERIES
+from basket_marts.session import BROADCAST_BYTES, ROWS_PER_SPLIT
 
 TYPES = {
     "bigint": "BIGINT",
@@ -24,8 +29,9 @@ def duck(folder):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
-    assert len(entry.queries()) == 24
+    assert set(QUERIES) == set(ORACLE)
+    assert len(QUERIES) == 32
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 def test_entry_has_rows(spark):
@@ -33,10 +39,9 @@ def test_entry_has_rows(spark):
     assert result.columns[0] == "department" and result.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
-def test_query_matches_oracle(spark, duck, folder, name):
-    frame = entry.queries()[name](spark, folder)
-    expected = duck.execute(entry.oracle_sql()[name])
+def _compare(spark, duck, folder, name):
+    frame = QUERIES[name](spark, folder)
+    expected = duck.execute(ORACLE[name])
     described = {column[0]: str(column[1]) for column in expected.description}
     assert {c: TYPES[t] for c, t in frame.dtypes} == described
 
@@ -46,6 +51,20 @@ def test_query_matches_oracle(spark, duck, folder, name):
     assert rows
 
 
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query_matches_oracle(spark, duck, folder, name):
+    _compare(spark, duck, folder, name)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query_matches_oracle_as_for_large_tables(spark, duck, folder, name, conf):
+    """Nothing is small enough to broadcast, and most keys are too large for one task."""
+    conf(ROWS_PER_SPLIT, "4")
+    conf(BROADCAST_BYTES, "0")
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    _compare(spark, duck, folder, name)
+
+
 @pytest.mark.parametrize(
     "name, present, absent",
     [
@@ -57,11 +76,18 @@ def test_query_matches_oracle(spark, duck, folder, name):
     ],
 )
 def test_query_runs_the_plan_it_should(spark, folder, name, present, absent):
-    plan = plan_of(entry.queries()[name](spark, folder))
+    plan = plan_of(QUERIES[name](spark, folder))
     assert present in plan and absent not in plan
     assert "CartesianProduct" not in plan and "Python" not in plan
 
 
 def test_scans_read_only_the_columns_they_need(spark, folder):
-    plan = plan_of(entry.queries()["key_skew"](spark, folder))
+    plan = plan_of(QUERIES["key_skew"](spark, folder))
     assert "FileScan parquet [l_orderkey#" in plan and "l_returnflag" not in plan
+
+
+@pytest.mark.parametrize("name", ["mart_product_rank", "mart_aisle_reorder"])
+def test_products_are_not_shuffled_by_department_or_aisle(spark, folder, name, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plan = plan_of(QUERIES[name](spark, folder))
+    assert not re.search(r"hashpartitioning\((department|aisle)_id", plan)

@@ -16,6 +16,7 @@ from basket_marts.sinks import (
     write_json,
     write_natural,
 )
+from basket_marts.session import remove_folder, replace_folder
 from basket_marts.sinks.publish import PublishError
 
 NAME = "mart_product_rank"
@@ -136,3 +137,19 @@ def test_jdbc_truncates_instead_of_dropping():
         "mode": "overwrite",
         "saved": True,
     }
+
+
+def test_a_failed_move_leaves_the_old_mart_and_nothing_staged(spark, mart, tmp_path, monkeypatch):
+    writer = to_parquet(str(tmp_path))
+    publish_mart(mart, NAME, CONTRACT, writer)
+    before = as_rows(spark.read.parquet(f"{tmp_path}/{NAME}"))
+
+    def fail(spark, staged, target):
+        remove_folder(spark, staged)  # the move will not find what it should move
+        replace_folder(spark, staged, target)
+
+    monkeypatch.setattr("basket_marts.sinks.publish.replace_folder", fail)
+    with pytest.raises(Exception, match="cannot move|does not exist|FileNotFound"):
+        publish_mart(mart.limit(1), NAME, CONTRACT, writer)
+    assert as_rows(spark.read.parquet(f"{tmp_path}/{NAME}")) == before
+    assert [p.name for p in tmp_path.iterdir()] == [NAME]

@@ -1,4 +1,5 @@
 from conftest import as_rows
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -52,10 +53,43 @@ def test_item_splits_add_up(spark, folder):
     )
 
 
-def test_order_history_is_the_same_when_heavy_customers_are_cut(spark, folder, conf):
-    plain = as_rows(SharedTables(spark, folder).orders())
-    conf(ROWS_PER_SPLIT, "3")  # nearly every customer is heavy now
-    assert as_rows(SharedTables(spark, folder).orders()) == plain
+def _direct_history(orders):
+    customer = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
+    return orders.select(
+        F.col("o_orderkey").alias("order_id"),
+        F.row_number().over(customer).alias("order_number"),
+        F.datediff("o_orderdate", F.lag("o_orderdate").over(customer))
+        .cast("double")
+        .alias("days_since_prior_order"),
+    )
+
+
+@pytest.mark.parametrize("parts", ["1", "7", "40"])
+def test_order_history_does_not_depend_on_how_customers_are_cut(spark, tmp_path, conf, parts):
+    """Undated orders, orders without a customer, and one key far from all others."""
+    day = F.expr("timestamp_ntz'1995-01-01' + make_interval(0, 0, 0, cast(id % 5 as int))")
+    orders = spark.range(1, 601).select(
+        F.when(F.col("id") == 600, 10**12).otherwise(F.col("id")).alias("o_orderkey"),
+        F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 3 == 1, F.col("id") % 40).alias("o_custkey"),
+        F.when(F.col("id") % 2 == 0, day).alias("o_orderdate"),
+    )
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    conf("spark.sql.shuffle.partitions", parts)
+    history = SharedTables(spark, str(tmp_path)).orders()
+    expected = _direct_history(orders)
+    assert as_rows(history.select(*expected.columns)) == as_rows(expected)
+
+
+def test_a_line_of_neither_split_is_an_error(spark, folder, tmp_path):
+    lines = spark.read.parquet(f"{folder}/lineitem.parquet").limit(20)
+    for status in ("'X'", "CAST(NULL AS STRING)"):
+        lines.selectExpr("* EXCEPT (l_linestatus)", f"{status} AS l_linestatus").write.mode(
+            "overwrite"
+        ).parquet(f"{tmp_path}/lineitem.parquet")
+        tables = SharedTables(spark, str(tmp_path))
+        for rows in (tables.tagged_items(), tables.prior_items(), tables.train_items()):
+            with pytest.raises(Exception, match="neither split|unknown line status|USER_RAISED"):
+                rows.select("order_id").collect()
 
 
 def test_order_history_of_one_dominant_customer_on_few_dates(spark, tmp_path, conf):
@@ -68,13 +102,6 @@ def test_order_history_of_one_dominant_customer_on_few_dates(spark, tmp_path, co
     orders.write.parquet(f"{tmp_path}/orders.parquet")
     conf(ROWS_PER_SPLIT, "20")
     history = SharedTables(spark, str(tmp_path)).orders()
-    customer = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
-    expected = orders.select(
-        F.col("o_orderkey").alias("order_id"),
-        F.row_number().over(customer).alias("order_number"),
-        F.datediff("o_orderdate", F.lag("o_orderdate").over(customer))
-        .cast("double")
-        .alias("days_since_prior_order"),
-    )
+    expected = _direct_history(orders)
     assert as_rows(history.select(*expected.columns)) == as_rows(expected)
     assert history.agg(F.max("order_number")).first()[0] == 200
