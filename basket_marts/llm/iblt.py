@@ -6,7 +6,7 @@ Subtracting the cells of one version from those of another leaves what they do n
 cell that then holds a single digest gives it away; taking it out of its other cells frees
 more. If some cells stay locked, both versions are sketched again with more cells.
 
-Built-in functions only. Peeling works on rows of cells, in rounds that stay within the
+Built-in functions only. Peeling works on rows of cells, table by table, within the
 partitions that the pairs were dealt to, so it moves no data.
 """
 
@@ -23,7 +23,7 @@ CUT = r"(?<=[.!?]) (?![M-Zm-z])"
 TABLES = 3
 CELLS = 16  # in each table of a fingerprint
 GROWTH = 4
-ROUNDS = 5
+STEPS = 7  # tables opened in turn before a sketch counts as locked
 MAX_RETRIES = 12
 
 # Documents of consecutive ids that are looked at together for the next one.
@@ -112,14 +112,14 @@ _SIDES = [f"{side}_{what}" for side in ("left", "right") for what in ("count", "
 # Peeling ------------------------------------------------------------------------------
 
 
-def _peeled(cells: DataFrame) -> DataFrame:
-    """One round. Rows with a cell of -1 are digests found, their count telling the side.
+def _peeled(cells: DataFrame, table: int) -> DataFrame:
+    """Open the cells of one table that hold a single digest and take it out of the others.
 
-    A single digest leaves all its cells. It may be alone in several, which then each say so;
-    what a digest takes out of a cell is therefore made one row before it is summed.
+    A digest has one cell in a table, so it is taken out once. Rows with a cell of -1 are
+    digests found, their count telling the side.
     """
     alone = (
-        (F.col("cell") >= 0)
+        (F.floor(F.col("cell") / F.col("size")) == table)
         & (F.abs("count") == 1)
         & (F.col("checks") == _check(F.col("digests")))
     )
@@ -130,27 +130,29 @@ def _peeled(cells: DataFrame) -> DataFrame:
         F.col("checks"),
         digest.alias("digest"),
     )
+    found = entry(F.lit(-1), F.col("count"), F.col("digests"))
     itself = entry(F.col("cell"), F.col("count"), F.col("digest"))
     places = _cells(F.col("digests"))
-    removed = [entry(place, -F.col("count"), F.col("digests")) for place in places]
-    found = entry(F.lit(-1), F.col("count"), F.col("digests"))
-    entries = cells.select(
-        "pair",
-        "size",
-        F.explode(F.when(alone, F.array(itself, found, *removed)).otherwise(F.array(itself))).alias("e"),
-    ).select("pair", "size", "e.*")
-    single = entries.groupBy("pair", "size", "cell", "digest").agg(
-        F.min("count").alias("count"),
-        F.min("digests").alias("digests"),
-        F.min("checks").alias("checks"),
+    removed = [
+        F.when(alone, entry(place, -F.col("count"), F.lit(None).cast("bigint")))
+        for other, place in enumerate(places)
+        if other != table
+    ]
+    # The filter also ends a stage of generated code here: all rounds share one small class.
+    entries = F.filter(
+        F.array(F.when(alone, found).otherwise(itself), *removed), lambda e: e.isNotNull()
     )
-    of_found = F.when(F.col("cell") < 0, F.col("digest"))
-    summed = single.groupBy("pair", "size", "cell", of_found.alias("digest")).agg(
-        F.sum("count").alias("count"),
-        F.bit_xor("digests").alias("digests"),
-        F.bit_xor("checks").alias("checks"),
+    return (
+        cells.select("pair", "size", F.explode_outer(entries).alias("e"))
+        .select("pair", "size", "e.*")
+        .groupBy("pair", "size", "cell", "digest")
+        .agg(
+            F.sum("count").alias("count"),
+            F.bit_xor("digests").alias("digests"),
+            F.bit_xor("checks").alias("checks"),
+        )
+        .where("cell < 0 OR count <> 0 OR digests <> 0 OR checks <> 0")
     )
-    return summed.where("cell < 0 OR count <> 0 OR digests <> 0 OR checks <> 0")
 
 
 def _differences_at(pairs: DataFrame) -> DataFrame:
@@ -167,8 +169,8 @@ def _differences_at(pairs: DataFrame) -> DataFrame:
         F.lit(None).cast("bigint").alias("digest"),
     )
     rows = rows.where("count <> 0 OR digests <> 0 OR checks <> 0")
-    for _ in range(ROUNDS):
-        rows = _peeled(rows)
+    for step in range(STEPS):
+        rows = _peeled(rows, step % TABLES)
     found = F.col("cell") < 0
     return rows.groupBy("pair").agg(
         F.count_if(found & (F.col("count") > 0)).alias("only_left"),

@@ -69,7 +69,7 @@ def test_differences_of_all_sizes(spark):
     for pair, (both, left, right) in enumerate(
         [(10, 0, 0), (10, 1, 0), (0, 0, 3), (500, 9, 9), (40, 60, 3), (0, 700, 900), (3000, 1, 1)]
     ):
-        digests = rng.sample(range(-(1 << 62), 1 << 62), both + left + right)
+        digests = [x - (1 << 61) for x in rng.sample(range(1 << 62), both + left + right)]
         rows.append((pair, digests[: both + left], digests[:both] + digests[both + left :]))
         if left or right:
             expected[pair] = (left, right)
