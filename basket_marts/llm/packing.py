@@ -32,8 +32,8 @@ CAPACITY = 2048
 END_ID = 1
 # Windows that are differenced together: a bound on a task's memory and on the vectors' length.
 GROUP_WINDOWS = 128
-# Ids of words up to this long are remembered, so many of them: some 200 MB a task.
-REMEMBERED_LENGTH, REMEMBERED = 64, 1_000_000
+# Ids of so many words and pieces of words up to this long are remembered: some 150 MB a task.
+REMEMBERED_LENGTH, REMEMBERED_WORDS, REMEMBERED_PIECES = 64, 250_000, 500_000
 SLICE_BYTES = 1 << 20
 
 # Fixed value: the pattern of this vocabulary file for pieces of lower-case text.
@@ -194,8 +194,10 @@ class TextIds:
         return b"".join(map(self._piece_ids, self.piece.findall(lowered)))
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
-        if len(self.words) > REMEMBERED or len(self.pieces) > REMEMBERED:
-            self.words, self.pieces = {"": b""}, {}
+        if len(self.words) > REMEMBERED_WORDS:
+            self.words = {"": b""}
+        if len(self.pieces) > REMEMBERED_PIECES:
+            self.pieces = {}
         for text in texts:
             words = text.replace("\n", " ").split(" ")
             long = {}
