@@ -250,7 +250,7 @@ def _shared_parts(parts: DataFrame, n_fragments: int) -> DataFrame:
 
 
 def _near_sets(parts: DataFrame) -> DataFrame:
-    """(set_class, n_shingles, shingles, prefix) of the sets that share enough to link.
+    """(set_class, n_shingles, n_shared, shingles, prefix) of the sets that share enough.
 
     `shingles` are those that other sets have, rarest first; `prefix` those of them among
     the set's first |set| - ceil(PERCENT % of |set|) + 1 in that order, which begins with the
@@ -285,13 +285,17 @@ def _near_sets(parts: DataFrame) -> DataFrame:
                 {
                     "set_class": int(known[owner[start]]),
                     "n_shingles": size,
+                    "n_shared": found,
                     "shingles": own.tobytes(),
                     "prefix": own[: max(0, prefix)].tolist(),
                 }
             )
         return pa.Table.from_pylist(rows, schema=_NEAR)
 
-    schema = "set_class bigint, n_shingles bigint, shingles binary, prefix array<bigint>"
+    schema = (
+        "set_class bigint, n_shingles bigint, n_shared bigint, shingles binary, "
+        "prefix array<bigint>"
+    )
     return parts.groupBy("place").applyInArrow(gather, schema)
 
 
@@ -299,6 +303,7 @@ _NEAR = pa.schema(
     [
         ("set_class", pa.int64()),
         ("n_shingles", pa.int64()),
+        ("n_shared", pa.int64()),
         ("shingles", pa.binary()),
         ("prefix", pa.list_(pa.int64())),
     ]
@@ -369,20 +374,18 @@ def _links(near: DataFrame, families: DataFrame, n_tasks: int) -> DataFrame:
 
     A family too large for a task is cut into parts, and every two parts meet in a task.
     """
-    members = near.join(families, "set_class").select(
-        "set_class", "n_shingles", "shingles", "family"
-    )
-    held = F.octet_length("shingles") / 8
+    # Who goes where is settled without the sets, which then move once.
+    members = stored(near.select("set_class", "n_shared").join(families, "set_class"), "members")
     large = (
         members.groupBy("family")
-        .agg(F.sum(held).alias("held"))
+        .agg(F.sum("n_shared").alias("held"))
         .where(F.col("held") > FAMILY_SHINGLES)
         .select("family", F.ceil(2 * F.col("held") / FAMILY_SHINGLES).cast("int").alias("parts"))
     )
     part = F.pmod(F.xxhash64("set_class"), F.col("parts")).cast("int")
     others = F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)
     dealt = (
-        members.join(large, "family", "left")
+        lookup_join(members, stored(large, "large-families"), "family", "left")
         .withColumn("part", F.coalesce(part, F.lit(0)))
         .withColumn("other", F.explode(others))
         .withColumn("low", F.least("part", "other"))
@@ -392,7 +395,10 @@ def _links(near: DataFrame, families: DataFrame, n_tasks: int) -> DataFrame:
             F.when(F.col("parts").isNull(), F.pmod(F.xxhash64("family"), F.lit(n_tasks)))
             .otherwise(n_tasks + F.abs(F.xxhash64("family", "low", "high") / 2).cast("bigint")),
         )
+        .select("task", "family", "low", "high", "set_class")
     )
+    sets = near.select("set_class", "n_shingles", "shingles")
+    sent = lookup_join(sets, stored(dealt, "dealt"), "set_class")
 
     def connect(table: pa.Table) -> pa.Table:
         classes = table.column("set_class").to_numpy()
@@ -415,8 +421,7 @@ def _links(near: DataFrame, families: DataFrame, n_tasks: int) -> DataFrame:
             {"a": np.concatenate(found_a or empty), "b": np.concatenate(found_b or empty)}
         )
 
-    columns = ["task", "family", "low", "high", "set_class", "n_shingles", "shingles"]
-    return dealt.select(*columns).groupBy("task").applyInArrow(connect, "a bigint, b bigint")
+    return sent.groupBy("task").applyInArrow(connect, "a bigint, b bigint")
 
 
 def _rooted(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
