@@ -156,14 +156,22 @@ def orphan_items(tables: SharedTables) -> DataFrame:
     )
 
 
+def _kept(tables: SharedTables, rows: DataFrame, label: str) -> DataFrame:
+    """Rows that a query uses several times, computed once and read from the scratch folder."""
+    path = session_path(tables.spark, label, tables.root)
+    rows.write.mode("overwrite").parquet(path)
+    return tables.spark.read.schema(rows.schema).parquet(path)
+
+
 @_query
 def dq_report(tables: SharedTables) -> DataFrame:
-    items, orders = _items(tables), tables.orders()
+    items = _kept(tables, _items(tables), "items")
+    baskets = marts.orders_with_baskets(tables.orders(), marts.order_baskets(items))
     frames = batch.mart_frames(
-        tables.tagged_items(),
-        _labels(tables),
-        marts.product_totals(items),
-        marts.orders_with_baskets(orders, marts.order_baskets(items)),
+        items,
+        _kept(tables, _labels(tables), "labels"),
+        _kept(tables, marts.product_totals(items), "totals"),
+        _kept(tables, baskets, "baskets"),
     )
     return quality.quality_report(items, tables.order_slots(), tables.products(), frames)
 
