@@ -91,6 +91,8 @@ def text_slices(
             last = max(first + 1, int(np.searchsorted(ends, before + size, "right")))
             yield batch.slice(first, last - first)
             first = last
+    # The worker process lives on for other tasks; what Arrow still holds is given back.
+    pa.default_memory_pool().release_unused()
 
 
 @lru_cache(maxsize=2)

@@ -41,11 +41,11 @@ from basket_marts.llm.shingles import shingle_sets
 PERCENT = 75
 
 # Shingles that a fragment's task, and a family's task, hold at once: bounds of memory.
-FRAGMENT_SHINGLES = 2_000_000
+FRAGMENT_SHINGLES = 1_200_000
 FAMILY_SHINGLES = 2_000_000
 # Text whose sets a map task holds at once, and sets in it that make a shingle common.
-CHUNK_BYTES = 4 << 20
-COMMON = 32
+CHUNK_BYTES = 2 << 20
+COMMON = 24
 
 _SUFFIX_BITS = np.uint64(40)
 _SUFFIX = np.uint64((1 << 40) - 1)

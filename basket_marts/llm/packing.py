@@ -32,8 +32,8 @@ CAPACITY = 2048
 END_ID = 1
 # Windows that are differenced together: a bound on a task's memory and on the vectors' length.
 GROUP_WINDOWS = 128
-# Ids of so many words and pieces of words up to this long are remembered: some 150 MB a task.
-REMEMBERED_LENGTH, REMEMBERED_WORDS, REMEMBERED_PIECES = 64, 250_000, 500_000
+# Ids of so many words and pieces of words up to this long are remembered: some 230 MB a task.
+REMEMBERED_LENGTH, REMEMBERED_WORDS, REMEMBERED_PIECES = 64, 600_000, 600_000
 SLICE_BYTES = 1 << 20
 
 # Fixed value: the pattern of this vocabulary file for pieces of lower-case text.
