@@ -2,14 +2,15 @@
 
 Texts and known licences are brought to one canonical form (case, punctuation, copyright
 lines, equivalent spellings), and digests of whole units are hash-joined: the entire text,
-each block between blank lines and each line. A unit matches if all of it is the licence or
-notice, never in part. Built-in functions only; the known table is a fixed one of a few
+each block between blank lines, as many blocks in a row as a licence has, and each line. A unit
+matches if all of it is the licence or notice, never in part. Built-in functions only; the known table is a fixed one of a few
 hundred short rows, so its broadcast does not grow with the data.
 """
 
 from __future__ import annotations
 
 from functools import reduce
+from importlib.resources import files
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +39,13 @@ SPELLINGS = [
 # A line that only says who holds a copyright, in lower case.
 COPYRIGHT_LINE = r"(?m)^[ \t*#/;-]*(?:copyright[ \t]*(?:\(c\)|©|[0-9<\[])|\(c\)|©|all rights reserved)[^\n]*$"
 
+# A line that only names a licence whose text has no title, in canonical form.
+TITLE_LINE = (
+    r"(?m)^(?:the )?(?:(?:mit|isc|zlib|[23] clause bsd|bsd [23] clause)"
+    r"|(?:simplified|new|modified|revised) bsd)"
+    r"(?: simplified| new| modified| revised| or)* license(?: mit| isc| zlib)?$"
+)
+
 # Names under which texts mention a licence. `notices` puts them in sentences.
 NAMES = {
     "Apache-2.0": ["the Apache License, Version 2.0", "the Apache License 2.0", "Apache 2.0"],
@@ -106,6 +114,38 @@ documentation would be appreciated but is not required.
 the original software.
 3. This notice may not be removed or altered from any source distribution.""",
 }
+_BSD_START = """Redistribution and use in source and binary forms, with or without modification, are
+permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions
+and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of
+conditions and the following disclaimer in the documentation and/or other materials provided with
+the distribution.
+
+"""
+_BSD_THIRD = """3. Neither the name of the copyright holder nor the names of its contributors may be used
+to endorse or promote products derived from this software without specific prior written
+permission.
+
+"""
+_BSD_END = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY
+EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF
+MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE
+COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL,
+EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE
+GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON
+ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR
+OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY
+OF SUCH DAMAGE."""
+TEXTS["BSD-2-Clause"] = _BSD_START + _BSD_END
+TEXTS["BSD-3-Clause"] = _BSD_START + _BSD_THIRD + _BSD_END
+# Longer ones are files beside this module, named by licence.
+TEXTS |= {
+    path.name.removesuffix(".txt"): path.read_text("utf-8")
+    for path in sorted(files(__package__).joinpath("license_texts").iterdir(), key=lambda p: p.name)
+}
 
 
 def canonical_lines(text: str | Column) -> Column:
@@ -141,11 +181,45 @@ def known_digests(spark: SparkSession) -> DataFrame:
     )
 
 
+def _blocks(lines: Column) -> Column:
+    """The blocks of canonical lines without titles, each in one line."""
+    bare = F.regexp_replace(lines, TITLE_LINE, "")
+    return F.filter(F.transform(F.split(bare, r"\n{2,}"), _one_line), lambda block: block != "")
+
+
+def known_sequences(spark: SparkSession) -> list[tuple[str, int, str]]:
+    """(digest of the first block, number of blocks, digest of all) of entire licences."""
+    texts = spark.createDataFrame(list(TEXTS.items()), "license_id string, text string")
+    blocks = texts.select(_blocks(canonical_lines(F.col("text"))).alias("blocks"))
+    rows = blocks.select(
+        F.sha2(F.col("blocks")[0], 256).alias("first"),
+        F.size("blocks").alias("n"),
+        F.sha2(F.array_join("blocks", " "), 256).alias("digest"),
+    )
+    return [tuple(row) for row in rows.collect()]
+
+
+def _sequences(known: list[tuple[str, int, str]]) -> Column:
+    """(scope, digest) of the known licences that consecutive ones of `blocks` make up."""
+
+    def match(first: str, n: int, digest: str) -> Column:
+        starts = F.sequence(F.lit(1), F.size("blocks") - n + 1)
+        is_here = lambda i: (F.element_at("firsts", i) == first) & (
+            F.sha2(F.array_join(F.slice("blocks", i, F.lit(n)), " "), 256) == digest
+        )
+        is_found = (F.size("blocks") >= n) & F.array_contains("firsts", first)
+        scope = F.when(F.size("blocks") == n, "text").otherwise("part")
+        found = F.struct(scope.alias("scope"), F.lit(digest).alias("digest"))
+        return F.when(is_found, F.when(F.exists(starts, is_here), found))
+
+    return F.array_compact(F.array(*(match(*one) for one in known)))
+
+
 def license_matches(texts: DataFrame) -> DataFrame:
     """Licences found in rows of (doc_id, text): doc_id, license_id, scope, n_units.
 
-    `scope` is `text` where the entire text is the licence, else `part` for a block or line,
-    of which `n_units` different ones match. Texts without a match, NULL and empty ones
+    `scope` is `text` where the entire text is the licence, else `part` for blocks or a line,
+    of which `n_units` different ones match. A title line does not count as text of a licence. Texts without a match, NULL and empty ones
     included, have no row. Rows that repeat a doc_id are taken together (NULL is one id);
     other columns are not read. A line that is also the entire text counts as `text` only.
     """
@@ -155,17 +229,23 @@ def license_matches(texts: DataFrame) -> DataFrame:
     parts = F.array_except(
         F.array_union(F.split("lines", r"\n"), blocks), F.array(F.lit(""), F.col("whole"))
     )
-    part = lambda scope: lambda unit: F.struct(F.lit(scope).alias("scope"), unit.alias("unit"))
+    part = lambda scope: lambda unit: F.struct(
+        F.lit(scope).alias("scope"), F.sha2(unit, 256).alias("digest")
+    )
+    sequences = _sequences(known_sequences(texts.sparkSession))
+    described = lines.withColumn("whole", whole).withColumn("blocks", _blocks(F.col("lines")))
+    described = described.withColumn(
+        "firsts", F.transform("blocks", lambda block: F.sha2(block, 256))
+    )
     # Outer, for else the optimizer filters empty arrays and computes each one twice.
-    units = lines.withColumn("whole", whole).select(
+    digests = described.select(
         "doc_id",
         F.explode_outer(
             F.concat(
-                F.array(part("text")(F.col("whole"))), F.transform(parts, part("part"))
+                F.array(part("text")(F.col("whole"))), F.transform(parts, part("part")), sequences
             )
         ).alias("u"),
-    )
-    digests = units.select("doc_id", "u.scope", F.sha2("u.unit", 256).alias("digest"))
+    ).select("doc_id", "u.scope", "u.digest")
     known = F.broadcast(known_digests(texts.sparkSession))
     return (
         digests.join(known, "digest")

@@ -51,3 +51,19 @@ def test_odd_rows(spark, odd, no_rows):
     assert license_matches(no_rows).collect() == []
     twice = [(None, "Released under MIT"), (None, "Released under MIT"), (1, None)]
     assert found(spark, twice) == {(None, "MIT", "text", 1)}
+
+
+def test_licence_files_and_texts_below_prose(spark):
+    mit, apache = TEXTS["MIT"], TEXTS["Apache-2.0"]
+    rows = [
+        (1, f"MIT License\n\nCopyright (c) 2020 Somebody\n\n{mit}\n"),
+        (2, f"A word before it.\n\nThe MIT License (MIT)\n\n{mit}\n\nAnd one after it."),
+        (3, apache),
+        (4, f"Some prose.\n\n{apache}"),
+        (5, f"BSD 3-Clause License\n\n{TEXTS['BSD-3-Clause']}"),
+        (6, f"Prose.\n\n{mit.split(chr(10) * 2, 1)[1]}"),
+    ]
+    assert found(spark, rows) == {
+        (1, "MIT", "text", 1), (2, "MIT", "part", 1), (3, "Apache-2.0", "text", 1),
+        (4, "Apache-2.0", "part", 1), (5, "BSD-3-Clause", "text", 1),
+    }
