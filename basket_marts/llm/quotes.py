@@ -1,7 +1,8 @@
 """Quotation linking: which message a message answers, told by the text it quotes.
 
 Lines are parsed into quote levels (`>`, `> >`, ...). Runs of lines of one level are
-passages; the normalised passage is hashed, and so is each of its lines. The original of a
+passages; the normalised passage is hashed, and so are its lines, its sentences and its runs of
+2, 4, 8, ... sentences. The original of a
 passage is the first message of the conversation that holds it unquoted. A message answers
 the message that its outermost matched quotes come from. Ordering by `reply_path` puts
 every message below the one it answers; `body` is its text without quotes.
@@ -18,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basket_marts.llm.common import stored, text_slices
+from basket_marts.llm.common import lookup_join, stored, text_slices
 
 # Fixed value: the quote marks before a line.
 QUOTE = re.compile(r"((?:[ \t]*>)+)[ \t]?")
@@ -26,6 +27,10 @@ QUOTE = re.compile(r"((?:[ \t]*>)+)[ \t]?")
 ATTRIBUTION = re.compile(r"[ \t]*on\b.*\bwrote:[ \t]*", re.IGNORECASE)
 
 
+# Fixed value: where a sentence ends in normalised text.
+SENTENCE_END = re.compile(r"(?<=[.!?…]) |(?<=[.!?…][\"')\]”’»]) |(?<=[。！？]) ?")
+
+
 def quote_levels(text: str) -> list[tuple[int, str]]:
     """(level, text) of each line, without quote marks and attribution lines."""
     found = []
@@ -38,16 +43,34 @@ def quote_levels(text: str) -> list[tuple[int, str]]:
     return found
 
 
+def sentence_runs(text: str) -> Iterator[str]:
+    """Each sentence of a normalised text, and all its runs of 2, 4, 8, ... sentences.
+
+    Any run of sentences is two of these that overlap, so a quote of some sentences shares
+    its longest ones with the text it is from; there are n log n for n sentences.
+    """
+    sentences = [s for s in SENTENCE_END.split(text) if s]
+    length = 1
+    while length <= len(sentences):
+        for start in range(len(sentences) - length + 1):
+            yield " ".join(sentences[start : start + length])
+        length *= 2
+
+
 def passages(lines: list[tuple[int, str]]) -> set[tuple[int, str]]:
-    """(level, normalised text) of each run of lines of one level, each paragraph of it and
-    each line, so that quotes of parts and re-wrapped quotes find their original too.
+    """(level, normalised text) of each run of lines of one level, each paragraph of it, each
+    line, and runs of sentences, so that quotes of parts and re-wrapped quotes find their
+    original too.
     """
     found = set()
     for level, run in groupby(lines, key=lambda line: line[0]):
         texts = [text for _, text in run]
         whole = "\n".join(texts)
-        for unit in (whole, *re.split(r"\n[ \t]*\n", whole), *texts):
-            found.add((level, " ".join(unit.lower().split())))
+        units = (whole, *re.split(r"\n[ \t]*\n", whole), *texts)
+        normal = dict.fromkeys(" ".join(unit.lower().split()) for unit in units)
+        for unit in normal:
+            found.add((level, unit))
+            found.update((level, part) for part in sentence_runs(unit))
     return {(level, unit) for level, unit in found if unit}
 
 
@@ -84,22 +107,23 @@ def reply_links(messages: DataFrame) -> DataFrame:
     """(conv_id, turn, reply_to, n_quotes) of messages with a quote whose original is known.
 
     Of the matched passages those of the lowest quote level count; the message most of them
-    come from is answered, the later one in a tie. Originals are one row per passage before
-    the join, so a passage that many messages repeat does not multiply.
+    come from is answered, the later one in a tie. Of the unquoted passages only those that
+    are quoted are kept, one row each before the join, so a passage that many messages repeat
+    does not multiply.
     """
     identified = messages.where(F.col("conv_id").isNotNull() & F.col("turn").isNotNull())
-    units = stored(
-        identified.select("conv_id", "turn", F.explode("passages").alias("unit"))
-        .select("conv_id", "turn", "unit.level", "unit.hash")
-        .distinct(),
-        "passages",
+    units = identified.select("conv_id", "turn", F.explode("passages").alias("unit")).select(
+        "conv_id", "turn", "unit.level", "unit.hash"
     )
+    quoted = stored(units.where("level > 0").distinct(), "quoted-passages")
+    wanted = stored(quoted.select("conv_id", "hash").distinct(), "wanted-passages")
     originals = (
-        units.where("level = 0").groupBy("conv_id", "hash").agg(F.min("turn").alias("reply_to"))
+        lookup_join(units.where("level = 0"), wanted, ["conv_id", "hash"])
+        .groupBy("conv_id", "hash")
+        .agg(F.min("turn").alias("reply_to"))
     )
     matched = (
-        units.where("level > 0")
-        .join(originals, ["conv_id", "hash"])
+        quoted.join(originals, ["conv_id", "hash"])
         .where(F.col("reply_to") < F.col("turn"))
         .groupBy("conv_id", "turn", "level", "reply_to")
         .agg(F.count(F.lit(1)).alias("n"))

@@ -80,3 +80,17 @@ def test_query_keeps_every_message(spark, small):
     by_turn = {(r.conv_id, r.turn): r for r in messages.collect()}
     for row in rows:  # no message of these quotes
         assert row.reply_to is None and row.body == by_turn[row.conv_id, row.turn].text.strip()
+
+
+def test_sentences_quoted_from_the_middle_of_a_line(spark):
+    line = "First a word. Boxes are packed tightly! Then they are closed. They go by train. The end."
+    rows = [
+        (1, 0, "user", "They go by train. Or so I heard."),
+        (1, 1, "assistant", line),
+        (1, 2, "user", "> Boxes are packed tightly!\nReally?"),
+        (1, 3, "user", "> Boxes are packed tightly! Then\n> they are closed.\nBoth."),
+        (1, 4, "user", "> Then they are closed. They go by train.\nWhen?"),
+        (1, 5, "user", "> Boxes are not packed.\nWho says so?"),
+    ]
+    found = linked_conversations(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {r.turn: r.reply_to for r in found} == {0: None, 1: None, 2: 1, 3: 1, 4: 1, 5: None}
