@@ -163,3 +163,33 @@ ORACLE["op9_licenses"] = rf"""
     SELECT doc_id, license_id, CASE WHEN unit = whole THEN 'text' ELSE 'part' END AS scope,
            count(DISTINCT unit) AS n_units
     FROM units JOIN known USING (unit) GROUP BY ALL"""
+
+
+# Lists of lines, cut and joined; nothing is rotated, and the text itself is what must come back.
+ORACLE["op13_fill_in_middle"] = r"""
+    WITH drawn AS (
+        SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || doc_id) AS digest,
+               regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS units
+        FROM documents),
+    cut AS (
+        SELECT *, len(units) AS n,
+               CAST('0x' || digest[1:8] AS UBIGINT) % (len(units) + 1) AS a,
+               CAST('0x' || digest[9:16] AS UBIGINT) % (len(units) + 1) AS b,
+               CAST('0x' || digest[25:32] AS UBIGINT) % 100 AS which,
+               text = '' OR contains(text, '<P>') OR contains(text, '<S>')
+                   OR contains(text, '<M>') AS plain
+        FROM drawn),
+    parts AS (
+        SELECT *, coalesce(array_to_string(units[1:least(a, b)], ''), '') AS prefix,
+               coalesce(array_to_string(units[least(a, b) + 1:greatest(a, b)], ''), '') AS middle,
+               coalesce(array_to_string(units[greatest(a, b) + 1:], ''), '') AS suffix
+        FROM cut)
+    SELECT doc_id, CAST(n AS BIGINT) AS n,
+           CASE WHEN plain THEN 'plain' WHEN which < 50 THEN 'spm' ELSE 'psm' END AS form,
+           CASE WHEN NOT plain THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+           CASE WHEN NOT plain THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+           sha256(CASE WHEN plain THEN text
+                  WHEN which < 50 THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle
+                  ELSE '<P>' || prefix || '<S>' || suffix || '<M>' || middle END) AS output_sha256,
+           sha256(text) AS restored_sha256
+    FROM parts"""

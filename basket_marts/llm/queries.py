@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from basket_marts.llm import (
     decontaminate,
     iblt,
+    infill,
     licenses,
     line_dedup,
     ngram_join,
@@ -90,3 +92,17 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(
         documents(spark, folder), vocabulary_path("byte_bpe_50k.json")
     )
+
+
+@_query
+def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    rewritten = infill.restored(infill.fill_in_middle(documents(spark, folder)))
+    return rewritten.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(F.col("restored").cast("binary"), 256).alias("restored_sha256"),
+    )
