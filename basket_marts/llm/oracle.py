@@ -165,6 +165,44 @@ ORACLE["op9_licenses"] = rf"""
     FROM units JOIN known USING (unit) GROUP BY ALL"""
 
 
+# Prefixes as lists of turns, every node joined to all its ancestors. CRC-32 bit by bit.
+_CRC_STEP = "(CASE WHEN i % 8 = 0 THEN xor(crc, ascii(digits[i // 8 + 1])) ELSE crc END)"
+ORACLE["op11_prefix_trie"] = f"""
+    WITH own AS (
+        SELECT conv_id, CAST(conv_id AS VARCHAR) AS digits,
+               list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}}
+                    ORDER BY turn NULLS FIRST) AS turns
+        FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+    drawn AS (
+        SELECT *, xor(4294967295, list_reduce(
+                   list_prepend(CAST(4294967295 AS BIGINT), range(8 * length(digits))),
+                   lambda crc, i: xor({_CRC_STEP} >> 1, ({_CRC_STEP} & 1) * 3988292384))) % 6 AS h
+        FROM own),
+    rebuilt AS (
+        SELECT c.conv_id, list_concat(coalesce(b.turns[1:h], []), c.turns[h + 1:]) AS path
+        FROM drawn c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 100),
+    nodes AS (
+        SELECT depth, path[1:depth] AS prefix, min(conv_id) AS conv_id, count(*) AS n_convs,
+               list(conv_id ORDER BY conv_id) FILTER (len(path) = depth) AS ends
+        FROM (SELECT *, unnest(range(len(path) + 1)) AS depth FROM rebuilt)
+        GROUP BY depth, prefix),
+    children AS (
+        SELECT depth - 1 AS depth, prefix[1:depth - 1] AS prefix, count(*) AS n_children
+        FROM nodes WHERE depth > 0 GROUP BY ALL),
+    counted AS (
+        SELECT n.*, coalesce(n_children, 0) AS n_children
+        FROM nodes n LEFT JOIN children USING (depth, prefix)),
+    subtrees AS (
+        SELECT above AS depth, prefix[1:above] AS prefix, count(*) FILTER (n_children = 0) AS n_leaves,
+               sum((n_convs - 1) * coalesce(length(prefix[depth].text), 0)) AS saved
+        FROM (SELECT *, unnest(range(depth + 1)) AS above FROM counted) GROUP BY ALL)
+    SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, n_leaves,
+           CAST(saved AS BIGINT) AS saved_tokens,
+           sha256(coalesce(array_to_string(n.ends, ','), '')) AS ends_sha256
+    FROM counted n JOIN subtrees USING (depth, prefix)
+    LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.prefix = n.prefix[1:n.depth - 1]"""
+
+
 # Lists of lines, cut and joined; nothing is rotated, and the text itself is what must come back.
 ORACLE["op13_fill_in_middle"] = r"""
     WITH drawn AS (

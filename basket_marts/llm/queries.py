@@ -15,6 +15,7 @@ from basket_marts.llm import (
     line_dedup,
     ngram_join,
     packing,
+    prefix_trie,
     quality,
     quotes,
     token_counts,
@@ -94,6 +95,11 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@_query
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.node_summary(_table(spark, folder, "conversations"))
+
+
 @_query
 def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
     rewritten = infill.restored(infill.fill_in_middle(documents(spark, folder)))
