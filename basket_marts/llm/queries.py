@@ -13,6 +13,7 @@ from basket_marts.llm import (
     infill,
     licenses,
     line_dedup,
+    minhash_join,
     ngram_join,
     packing,
     prefix_trie,
@@ -100,6 +101,11 @@ def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_trie.node_summary(_table(spark, folder, "conversations"))
 
 
+@_query
+def op12_minhash_join(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash_join.minhash_components(documents(spark, folder))
+
+
 @_query
 def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
     rewritten = infill.restored(infill.fill_in_middle(documents(spark, folder)))
