@@ -41,9 +41,11 @@ def test_query(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     result = QUERIES["op4_fingerprints"](spark, small).cache()
     compare(result, [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()])
+    rows = result.collect()
+    result.unpersist()
     texts = {r.doc_id: r.text for r in docs.collect()}
     prints = {}
-    for row in result.collect():
+    for row in rows:
         assert prints.setdefault(texts[row.doc_id], row.fingerprint) == row.fingerprint
     different = {frozenset(paragraphs(t)) for t in texts.values()}
     assert len(set(prints.values())) == len(different)
