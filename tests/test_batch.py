@@ -35,12 +35,14 @@ def data(spark, folder, tmp_path_factory):
 
 def test_batch_publishes_what_the_queries_compute(spark, folder, data, tmp_path):
     lake, published = f"{tmp_path}/lake", f"{tmp_path}/published"
+    held = spark.sparkContext._jsc.sc().getPersistentRDDs
+    before = held().size()
     counts = batch.run_batch(spark, f"{data}/raw", lake, to_parquet(published))
     for name in schemas.MART_CONTRACTS:
         mart = spark.read.parquet(f"{published}/{name}")
         assert as_rows(mart) == as_rows(QUERIES[name](spark, folder))
         assert counts[name] == mart.count()
-    assert not spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+    assert held().size() == before
     # A second run replaces everything with the same rows.
     assert batch.run_batch(spark, f"{data}/raw", lake, to_parquet(published)) == counts
 
