@@ -133,7 +133,7 @@ def near_classes(classes: DataFrame) -> DataFrame:
 
 def _families(near: DataFrame) -> DataFrame:
     """(set_class, family): classes that share a posting of their prefixes, directly or through
-    others. A posting's classes are tied to the least of them.
+    others. The least class of a posting is its hub.
     """
     entries = near.select("set_class", F.explode("prefix").alias("post"))
     hubs = (
@@ -142,12 +142,11 @@ def _families(near: DataFrame) -> DataFrame:
         .where("last > hub")
         .select("post", "hub")
     )
-    edges = (
-        entries.join(hubs, "post")
-        .where("set_class <> hub")
-        .select(F.col("set_class").alias("a"), F.col("hub").alias("b"))
-        .distinct()
-    )
+    # A class has many postings and so many hubs. It is tied to the least of them, and its other
+    # hubs to that one as well: the same connections in far fewer edges, as hubs recur.
+    of_class = entries.join(hubs, "post").groupBy("set_class").agg(F.collect_set("hub").alias("hubs"))
+    tied = F.explode(F.array_union("hubs", F.array("set_class"))).alias("a")
+    edges = of_class.select(tied, F.array_min("hubs").alias("b")).where("a <> b").distinct()
     return connected_components(edges).select(
         F.col("node").alias("set_class"), F.col("component").alias("family")
     )
@@ -329,7 +328,6 @@ def rooted_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         classes.agg(
             F.min("doc_id").alias("least_id"),
             F.min("row_key").alias("row_key"),
-            F.first("n_shingles").alias("n_shingles"),
             F.first("signature").alias("signature"),
         ),
         "classes",
@@ -337,12 +335,8 @@ def rooted_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     near = stored(near_classes(classes), "near")
     families = stored(_families(near), "families")
     # The sets themselves, from one text of each class that has company.
-    wanted = stored(
-        classes.join(families.select("set_class"), "set_class").select(
-            F.col("row_key").alias("of_row"), "set_class", "n_shingles", "signature"
-        ),
-        "wanted",
-    )
+    in_family = classes.join(families.select("set_class"), "set_class")
+    wanted = stored(in_family.select(F.col("row_key").alias("of_row"), "set_class"), "wanted")
     texts = lookup_join(docs.select("doc_id", "text"), wanted, row_key() == F.col("of_row"))
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -351,11 +345,18 @@ def rooted_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             classes = batch.column("set_class").to_pylist()
             new = [c not in met and not met.add(c) for c in classes]
             batch = batch.filter(pa.array(new, type=pa.bool_()))
-            sets = pa.array([s.tobytes() for s in shingle_sets(batch.column("text"))], type=pa.binary())
-            kept = [batch.column(c) for c in ("set_class", "n_shingles", "signature")]
-            yield pa.RecordBatch.from_arrays([*kept, sets], names=["set_class", "n_shingles", "signature", "shingles"])
+            sets = list(shingle_sets(batch.column("text")))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("set_class"),
+                    pa.array([len(s) for s in sets], type=pa.int64()),
+                    pa.array([row.tobytes() for row in signatures(sets)], type=pa.binary()),
+                    pa.array([s.tobytes() for s in sets], type=pa.binary()),
+                ],
+                names=["set_class", "n_shingles", "signature", "shingles"],
+            )
 
-    sets = texts.select("text", "set_class", "n_shingles", "signature").mapInArrow(
+    sets = texts.select("text", "set_class").mapInArrow(
         rebuild, "set_class bigint, n_shingles bigint, signature binary, shingles binary"
     )
     links = family_links(stored(sets, "sets"), families)
