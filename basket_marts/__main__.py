@@ -37,7 +37,8 @@ def main(argv: list[str] | None = None) -> int:
         writer = to_parquet(f"{args.data_dir}/published")
     try:
         if args.job == "clean":
-            print(batch.clean(spark, raw, lake, args.item_files))
+            for account in batch.clean_audited(spark, raw, lake, args.item_files):
+                print(account)
         elif args.job == "marts":
             print(batch.build_marts(spark, lake))
         elif args.job == "dq":

@@ -46,6 +46,22 @@ _CTE = {
         FROM (SELECT * FROM raw_orders UNION ALL
               SELECT * REPLACE (CAST(23 AS INT) AS order_hour_of_day)
               FROM raw_orders WHERE order_id % 10 = 0)""",
+    "broken_items": """
+        SELECT eval_set AS split, order_id, product_id, add_to_cart_order, reordered,
+               CASE WHEN order_id % 97 = 3 THEN 'missing key'
+                    WHEN order_id % 89 = 5 THEN 'malformed record' END AS reason,
+               CASE WHEN order_id % 97 = 3 THEN concat_ws(',', order_id, '', add_to_cart_order, reordered)
+                    ELSE concat_ws(',', 'x' || order_id, product_id, add_to_cart_order, reordered)
+                    END AS record,
+               order_id % 83 = 7 OR order_id % 79 = 11 OR order_id % 73 = 13 AS is_odd
+        FROM raw_items""",
+    "broken_orders": """
+        SELECT *, CASE WHEN order_id % 89 = 5 THEN 'malformed record'
+                       WHEN user_id IS NULL THEN 'missing key' END AS reason,
+               concat_ws(',', CASE WHEN order_id % 89 = 5 THEN 'o' ELSE '' END || order_id,
+                   coalesce(CAST(user_id AS VARCHAR), ''), eval_set, order_number, order_dow,
+                   order_hour_of_day, coalesce(CAST(days_since_prior_order AS VARCHAR), '')) AS record
+        FROM dirty_orders""",
     "products": """
         SELECT p_partkey AS product_id, p_name AS product_name, p_size AS aisle_id,
                CAST(regexp_extract(p_brand, '[0-9]+') AS INT) AS department_id
@@ -117,6 +133,8 @@ _NEEDS = {
     "items": ["raw_items"],
     "dirty_orders": ["raw_orders"],
     "dirty_products": ["products"],
+    "broken_items": ["raw_items"],
+    "broken_orders": ["dirty_orders"],
     "enriched": ["items", "products", "departments", "aisles"],
     "baskets": ["items"],
     "ordered": ["raw_orders", "baskets"],
@@ -389,3 +407,73 @@ ORACLE["batch_marts"] = _batch(
 ORACLE["dq_report_lake"] = _batch(
     _checks(*_table_checks("items", "raw_orders_kept", "products"), *_mart_checks())
 )
+
+
+# Accounting, late drops, states: what comes out as if everything had been done at once --------
+
+ORACLE["csv_rejects"] = _sql(
+    """
+    SELECT 'order_products' AS table_name, split, reason, record
+    FROM broken_items WHERE reason IS NOT NULL
+    UNION ALL
+    SELECT 'orders', NULL, reason, record FROM broken_orders WHERE reason IS NOT NULL""",
+    "broken_items",
+    "broken_orders",
+)
+
+
+def _account(table: str, source: str, key: str, rejected: str, damaged: str) -> str:
+    kept = f"count(DISTINCT {key}) FILTER (NOT ({rejected}))"
+    return f"""
+        SELECT '{table}' AS table_name, count(*) AS rows_read, {kept} AS kept,
+               count(*) FILTER (NOT ({rejected})) - {kept} AS duplicates,
+               count(*) FILTER ({rejected}) AS rejected,
+               count(*) FILTER (NOT ({rejected}) AND {damaged}) AS damaged
+        FROM {source}"""
+
+
+_TWICE = "(SELECT * FROM {0} UNION ALL SELECT * FROM {0} UNION ALL SELECT NULL, NULL)"
+ORACLE["csv_accounts"] = _sql(
+    "\nUNION ALL\n".join(
+        (
+            _account("products", "dirty_products", "product_id", "product_id IS NULL", "false"),
+            _account("aisles", _TWICE.format("aisles"), "aisle_id", "aisle_id IS NULL", "false"),
+            _account(
+                "departments", _TWICE.format("departments"), "department_id", "department_id IS NULL", "false"
+            ),
+            _account("orders", "broken_orders", "order_id", "reason IS NOT NULL", "false"),
+            _account(
+                "order_products", "broken_items", "(order_id, product_id)", "reason IS NOT NULL", "is_odd"
+            ),
+        )
+    ),
+    "dirty_products",
+    "aisles",
+    "departments",
+    "broken_orders",
+    "broken_items",
+)
+ORACLE["csv_split_counts"] = _sql(
+    "SELECT eval_set, reordered, count(*) AS n_items FROM raw_items GROUP BY ALL", "raw_items"
+)
+ORACLE["merged_items"] = ORACLE["clean_order_products"]
+ORACLE["rerun_weekday"] = (
+    "SELECT * REPLACE (CASE WHEN order_dow = 3 THEN order_hour_of_day ELSE 0 END AS order_hour_of_day) "
+    f"FROM ({ORACLE['clean_orders']})"
+)
+ORACLE["rerun_weekday_demand"] = (
+    "SELECT order_dow, order_hour_of_day AS order_hour, count(*) AS n_orders "
+    f"FROM ({ORACLE['clean_orders']}) WHERE order_dow = 3 GROUP BY ALL"
+)
+ORACLE["merged_department_orders"] = _sql(
+    "SELECT department, n_orders FROM mart_department_kpis", "mart_department_kpis"
+)
+ORACLE["incremental_department_kpis"] = ORACLE["mart_department_kpis"]
+ORACLE["incremental_aisle_reorder"] = ORACLE["mart_aisle_reorder"]
+ORACLE["incremental_hourly_demand"] = ORACLE["mart_hourly_demand"]
+ORACLE["key_skew_sketch"] = _sql(
+    "SELECT count(*) AS n_keys, max(c) AS max_rows, "
+    "CAST(quantile_disc(c, 0.5) AS BIGINT) AS median_rows, true AS within_bound "
+    "FROM (SELECT count(*) AS c FROM items GROUP BY product_id)",
+    "items",
+)

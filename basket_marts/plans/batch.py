@@ -4,13 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import partial
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-from basket_marts.plans import benchmark, marts, quality
-from basket_marts.plans.cleaning import clean_dimension, clean_order_products, clean_orders
-from basket_marts.schemas import DIMENSIONS, MART_CONTRACTS
+from basket_marts.plans import benchmark, intake, marts, quality
+from basket_marts.plans.cleaning import (
+    clean_dimension,
+    clean_items,
+    clean_order_products,
+    clean_orders,
+)
+from basket_marts.schemas import DIMENSIONS, ITEM_KEYS, MART_CONTRACTS, ORDER_KEYS
 from basket_marts.sinks import (
     publish_mart,
     write_compact,
@@ -33,8 +39,44 @@ def persisted(rows: DataFrame) -> Iterator[DataFrame]:
         rows.unpersist()
 
 
+def clean_audited(
+    spark: SparkSession, raw_root: str, lake_root: str, item_files: int | None = None
+) -> list[intake.Account]:
+    """Raw CSV -> lake, with the rejected rows of each table at `lake/rejects/<table>` and an
+    account of all rows at `lake/accounts`. Both item files are one scan.
+    """
+    raw, lake = RawFiles(spark, raw_root, audited=True), Lake(spark, lake_root)
+
+    def items_written(rows: DataFrame) -> int:
+        path = lake.table_path("order_products")
+        return write_natural(rows, path) if item_files is None else write_even(rows, path, item_files)
+
+    tables = [
+        (
+            dimension.name,
+            raw.dimension(dimension),
+            [dimension.key],
+            partial(clean_dimension, key=dimension.key),
+            partial(write_compact, path=lake.table_path(dimension.name)),
+        )
+        for dimension in DIMENSIONS
+    ]
+    to_orders = partial(write_natural, path=lake.table_path("orders"))
+    tables += [
+        ("orders", raw.orders(), ORDER_KEYS, clean_orders, to_orders),
+        ("order_products", raw.tagged_items(), ITEM_KEYS, clean_items, items_written),
+    ]
+    accounts = [
+        intake.take_in(rows, name, keys, clean, write, lake.rejects_path(name))
+        for name, rows, keys, clean, write in tables
+    ]
+    write_compact(intake.accounts_frame(spark, accounts), lake.accounts_path())
+    return accounts
+
+
 def clean(spark: SparkSession, raw_root: str, lake_root: str, item_files: int | None = None):
-    """Raw CSV -> lake. Returns rows written per table.
+    """Raw CSV -> lake. Returns rows written per table; `clean_audited` also tells what became of
+    the others.
 
     Deduplication already spreads items evenly by their key; name `item_files` to get
     exactly that many files instead.
@@ -116,8 +158,9 @@ def run_benchmark(spark: SparkSession, raw_root: str, lake_root: str, metrics_ro
 def run_batch(
     spark: SparkSession, raw_root: str, lake_root: str, writer: Writer
 ) -> dict[str, int]:
-    """Clean, build, check, publish. A failed check stops the batch before publishing."""
-    clean(spark, raw_root, lake_root)
+    """Clean, build, check, publish. A failed check stops the batch before publishing. Rejected
+    rows are no failure; they are in the lake, see `clean_audited`."""
+    clean_audited(spark, raw_root, lake_root)
     build_marts(spark, lake_root)
     check_quality(spark, lake_root)
     return publish(spark, lake_root, writer)

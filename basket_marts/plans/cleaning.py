@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from basket_marts.functions import none_null
 from basket_marts.operators import least_row_per_key, least_tagged_pair_per_key
-from basket_marts.schemas import ITEM_KEYS, PRIOR, SPLITS, TRAIN
+from basket_marts.schemas import ITEM_KEYS, ORDER_KEYS, PRIOR, SPLITS, TRAIN
 
 
 def clean_dimension(raw: DataFrame, key: str) -> DataFrame:
@@ -15,7 +15,7 @@ def clean_dimension(raw: DataFrame, key: str) -> DataFrame:
 
 
 def clean_orders(raw: DataFrame) -> DataFrame:
-    return least_row_per_key(raw.where(none_null("order_id", "user_id")), ["order_id"])
+    return least_row_per_key(raw.where(none_null(*ORDER_KEYS)), ["order_id"])
 
 
 def tagged_items(prior: DataFrame, train: DataFrame) -> DataFrame:

@@ -9,13 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basket_marts import schemas
-from basket_marts.operators import skew
+from basket_marts.operators import dimension_join, skew
+from basket_marts.operators.distinct import distinct_counts, distinct_state, merge_distinct
 from basket_marts.operators.outliers import spread_stats
-from basket_marts.plans import batch, benchmark, cleaning, marts, quality, reads
+from basket_marts.plans import batch, benchmark, cleaning, marts, merging, quality, reads
+from basket_marts.plans.incremental import BasketState
 from basket_marts.schemas import DIMENSIONS, MART_CONTRACTS
-from basket_marts.session import session_path
+from basket_marts.session import remove_folder, session_path
 from basket_marts.sinks import publish_mart, to_parquet
-from basket_marts.sources import Lake, SharedTables, read_csv
+from basket_marts.sources import Lake, PartitionedTable, RawFiles, SharedTables, read_csv
+from basket_marts.sources.raw_files import split_of_file
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -256,6 +259,175 @@ def key_skew(tables: SharedTables) -> DataFrame:
     return skew.key_skew(_items(tables), "product_id")
 
 
+SKETCH_BUCKETS = 8
+
+
+@_query
+def key_skew_sketch(tables: SharedTables) -> DataFrame:
+    """The skew from sketches that were stored bucket by bucket and merged, beside the exact
+    median; `within_bound` holds the rank of the merged median against the sketch's bound."""
+    items = _kept(tables, _items(tables).select("product_id"), "sold")
+    sketches = _kept(tables, skew.count_sketches(items, "product_id", SKETCH_BUCKETS), "sketches")
+    merged = skew.sketched_skew(sketches)
+    exact = skew.rank_error(items, "product_id", merged.select("median_rows").scalar())
+    return merged.select(
+        "n_keys",
+        "max_rows",
+        exact.select("median_rows").scalar().alias("median_rows"),
+        (exact.select("rank_error").scalar() <= skew.sketch_rank_error()).alias("within_bound"),
+    )
+
+
+# Accounting for raw rows --------------------------------------------------------------
+
+
+def _broken_lake(tables: SharedTables) -> Lake:
+    """A drop with broken lines, cleaned with an account of all its rows."""
+    root = session_path(tables.spark, "broken", tables.root)
+    lines = {
+        schemas.ORDERS_FILE: tables.broken_order_lines(),
+        schemas.PRIOR_ITEMS_FILE: tables.broken_item_lines(schemas.PRIOR),
+        schemas.TRAIN_ITEMS_FILE: tables.broken_item_lines(schemas.TRAIN),
+    }
+    for file, rows in lines.items():
+        # One column whose name is the header line; without separators in it nothing is quoted.
+        rows.write.mode("overwrite").csv(f"{root}/raw/{file}", header=True, sep="\x01")
+    dimensions = (tables.products(dirty=True), tables.aisles(dirty=True), tables.departments(dirty=True))
+    for dimension, rows in zip(DIMENSIONS, dimensions):
+        rows.write.mode("overwrite").csv(f"{root}/raw/{dimension.file}", header=True)
+    batch.clean_audited(tables.spark, f"{root}/raw", f"{root}/lake")
+    return Lake(tables.spark, f"{root}/lake")
+
+
+@_query
+def csv_rejects(tables: SharedTables) -> DataFrame:
+    """Every raw item and order that did not become a row, why, and from which split."""
+    lake = _broken_lake(tables)
+    items = lake.rejects("order_products").withColumn("split", split_of_file(F.col("file")))
+    orders = lake.rejects("orders").withColumn("split", F.lit(None).cast("string"))
+    return items.unionByName(orders).select("table_name", "split", "reason", "record")
+
+
+@_query
+def csv_accounts(tables: SharedTables) -> DataFrame:
+    """Rows read of each raw table, and what became of them."""
+    return _broken_lake(tables).accounts()
+
+
+@_query
+def csv_split_counts(tables: SharedTables) -> DataFrame:
+    """Items of both splits, in one scan of files that name their split."""
+    root = session_path(tables.spark, "splits", tables.root)
+    files = {schemas.PRIOR_ITEMS_FILE: tables.prior_items(), schemas.TRAIN_ITEMS_FILE: tables.train_items()}
+    for file, rows in files.items():
+        rows.write.mode("overwrite").csv(f"{root}/{file}", header=True)
+    items = RawFiles(tables.spark, root).tagged_items()
+    return items.groupBy("eval_set", "reordered").agg(F.count(F.lit(1)).alias("n_items"))
+
+
+# Late drops and corrected weekdays ------------------------------------------------------
+
+# Few ids to a range, so that small tables have several.
+DROP_SPAN = 4096
+
+
+def _new_folder(tables: SharedTables, label: str) -> str:
+    root = session_path(tables.spark, label, tables.root)
+    remove_folder(tables.spark, root)
+    return root
+
+
+def _drops(items: DataFrame) -> list[DataFrame]:
+    """Three drops: half of the items, and the rest in ranges of even and of odd number."""
+    late = F.col("add_to_cart_order") % 2 == 0
+    even = merging.order_range(DROP_SPAN) % 2 == 0
+    return [items.where(~late), items.where(late & even), items.where(late & ~even)]
+
+
+@_query
+def merged_items(tables: SharedTables) -> DataFrame:
+    """Cleaned items of the dirty view as three drops left them, each merged into what it touched."""
+    items = cleaning.tagged_items(tables.prior_items(dirty=True), tables.train_items(dirty=True))
+    table = merging.items_by_range(tables.spark, _new_folder(tables, "merged-items"))
+    for drop in _drops(items):
+        merging.merge_items(table, drop, DROP_SPAN)
+    return table.rows().drop(merging.RANGE)
+
+
+RERUN_WEEKDAY = 3
+
+
+def _rerun_orders(tables: SharedTables) -> PartitionedTable:
+    """Orders stored with wrong hours, of which one weekday was then run again."""
+    raw = tables.orders(dirty=True)
+    table = merging.orders_by_weekday(tables.spark, _new_folder(tables, "weekday-orders"))
+    wrong = cleaning.clean_orders(raw.withColumn("order_hour_of_day", F.lit(0)))
+    table.replace(wrong, [None, *range(7)])
+    merging.rerun_weekdays(table, raw, [RERUN_WEEKDAY])
+    return table
+
+
+@_query
+def rerun_weekday(tables: SharedTables) -> DataFrame:
+    return _rerun_orders(tables).rows()
+
+
+@_query
+def rerun_weekday_demand(tables: SharedTables) -> DataFrame:
+    """Orders by hour of the weekday run again; no other weekday is read."""
+    orders = _rerun_orders(tables).rows([RERUN_WEEKDAY])
+    return orders.groupBy("order_dow", F.col("order_hour_of_day").alias("order_hour")).agg(
+        F.count(F.lit(1)).alias("n_orders")
+    )
+
+
+@_query
+def merged_department_orders(tables: SharedTables) -> DataFrame:
+    """Different orders of each department from bitmaps of both splits, stored and merged."""
+    labels = _labels(tables).select("product_id", "department")
+    states = []
+    for split, items in ((schemas.PRIOR, tables.prior_items()), (schemas.TRAIN, tables.train_items())):
+        named = dimension_join(
+            items.select("order_id", "product_id"), labels, "product_id", spread_by=["order_id"]
+        )
+        state = distinct_state(named, ["department"], "order_id")
+        states.append(_kept(tables, state, f"department-orders-{split}"))
+    return distinct_counts(merge_distinct(states, ["department"]), ["department"], "n_orders")
+
+
+def _state_after_drops(tables: SharedTables, label: str) -> tuple[BasketState, DataFrame]:
+    root = _new_folder(tables, label)
+    items = merging.items_by_range(tables.spark, f"{root}/items")
+    state = BasketState(tables.spark, f"{root}/state", items, DROP_SPAN)
+    labels = _kept(tables, _labels(tables), f"{label}-labels")
+    orders = tables.order_slots()
+    first, *late = _drops(tables.tagged_items())
+    merging.merge_items(items, first, DROP_SPAN)
+    # Orders that have no item yet count as well.
+    ranges = items.values_of(orders.withColumn(merging.RANGE, merging.order_range(DROP_SPAN)))
+    state.refresh(labels, orders, ranges)
+    for drop in late:
+        state.take_in(drop, labels, orders)
+    return state, labels
+
+
+@_query
+def incremental_department_kpis(tables: SharedTables) -> DataFrame:
+    state, labels = _state_after_drops(tables, "incremental-departments")
+    return state.department_kpis(labels)
+
+
+@_query
+def incremental_aisle_reorder(tables: SharedTables) -> DataFrame:
+    state, labels = _state_after_drops(tables, "incremental-aisles")
+    return state.aisle_reorder(labels)
+
+
+@_query
+def incremental_hourly_demand(tables: SharedTables) -> DataFrame:
+    return _state_after_drops(tables, "incremental-hours")[0].hourly_demand()
+
+
 # The batch --------------------------------------------------------------------------
 
 

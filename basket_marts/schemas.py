@@ -22,6 +22,8 @@ TRAIN_ITEMS_FILE = "order_products__train.csv"
 # --- End of fixed values. -----------------------------------------------------------
 
 ITEM_KEYS = ("order_id", "product_id")
+# An order without a customer is no order.
+ORDER_KEYS = ("order_id", "user_id")
 PRIOR, TRAIN = SPLITS = ("prior", "train")
 
 

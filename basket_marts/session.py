@@ -60,6 +60,17 @@ def scoped_conf(spark: SparkSession, **settings: str) -> Iterator[None]:
                 spark.conf.set(name, value)
 
 
+@contextmanager
+def empty_stages_kept(spark: SparkSession) -> Iterator[None]:
+    """Adaptive execution otherwise cuts off a stage that made no rows, and with it what was
+    observed there: how many rows it had read."""
+    key = "spark.sql.adaptive.optimizer.excludedRules"
+    rule = "org.apache.spark.sql.execution.adaptive.AQEPropagateEmptyRelation"
+    excluded = [r for r in (spark.conf.get(key, None) or "").split(",") if r]
+    with scoped_conf(spark, **{key.replace(".", "__"): ",".join([*excluded, rule])}):
+        yield
+
+
 def broadcast_limit(spark: SparkSession) -> int:
     return int(spark.conf.get(BROADCAST_BYTES, str(DEFAULT_BROADCAST_BYTES)))
 
@@ -100,6 +111,24 @@ def session_path(spark: SparkSession, label: str, source: str) -> str:
     return f"{_scratch_root(spark)}/{spark.sparkContext.applicationId}/{label}-{key}"
 
 
+@contextmanager
+def in_scratch(rows, label: str) -> Iterator:
+    """Rows that a block uses several times: written to the scratch folder once, read back, and
+    removed after the block."""
+    spark = rows.sparkSession
+    path = scratch_path(spark, label)
+    try:
+        rows.write.parquet(path)
+        yield spark.read.schema(rows.schema).parquet(path)
+    finally:
+        remove_folder(spark, path)
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder on whatever file system it lies, if it is there."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

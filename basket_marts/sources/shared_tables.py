@@ -7,7 +7,7 @@ from functools import cache
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from basket_marts.schemas import PRIOR, TRAIN
+from basket_marts.schemas import ITEMS_SCHEMA, ORDERS_SCHEMA, PRIOR, TRAIN
 from basket_marts.session import scratch_path
 
 
@@ -76,6 +76,32 @@ class SharedTables:
         user = F.when(F.col("order_id") % 101 != 4, F.col("user_id"))
         return _with_late_copies(orders.withColumn("user_id", user))
 
+    # Broken drop -------------------------------------------------------------------
+
+    def broken_item_lines(self, split: str) -> DataFrame:
+        """Lines of a CSV file of items with cells that do not parse, lack or are left over."""
+        order, product = F.col("order_id").cast("string"), F.col("product_id").cast("string")
+        position, flag = (F.col(c).cast("string") for c in ("add_to_cart_order", "reordered"))
+        remainder = {n: F.col("order_id") % n for n in (97, 89, 83, 79, 73)}
+        line = (
+            F.when(remainder[97] == 3, F.concat_ws(",", order, F.lit(""), position, flag))
+            .when(remainder[89] == 5, F.concat_ws(",", F.concat(F.lit("x"), order), product, position, flag))
+            .when(remainder[83] == 7, F.concat_ws(",", order, product))
+            .when(remainder[79] == 11, F.concat_ws(",", order, product, position, flag, F.lit("9")))
+            .when(remainder[73] == 13, F.concat_ws(",", order, product, F.lit("n/a"), flag))
+            .otherwise(F.concat_ws(",", order, product, position, flag))
+        )
+        return self._items_of(split, dirty=False).select(line.alias(_header(ITEMS_SCHEMA)))
+
+    def broken_order_lines(self) -> DataFrame:
+        """Lines of a CSV file of orders, some repeated, with empty and malformed keys."""
+        orders = self.orders(dirty=True)
+        number = F.when(F.col("order_id") % 89 == 5, F.concat(F.lit("o"), "order_id"))
+        number = F.coalesce(number, F.col("order_id").cast("string"))
+        cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in orders.columns[1:]]
+        line = F.concat_ws(",", number, *cells)
+        return orders.select(line.alias(_header(ORDERS_SCHEMA)))
+
     # Dimensions --------------------------------------------------------------------
 
     def products(self, dirty: bool = False) -> DataFrame:
@@ -107,6 +133,10 @@ class SharedTables:
         return _with_null_row(_twice(departments)) if dirty else departments
 
 
+def _header(schema: str) -> str:
+    return ",".join(column.split()[0] for column in schema.split(", "))
+
+
 def _item_columns(dirty: bool) -> list[Column]:
     product_id = F.col("l_partkey")
     reordered = F.when(F.col("l_returnflag") == "R", 1).otherwise(0)
