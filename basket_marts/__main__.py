@@ -19,6 +19,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("job", choices=JOBS)
     parser.add_argument("--data-dir", default=os.getenv("DATA_DIR", "data"))
     parser.add_argument("--item-files", type=int, help="exact number of item files in the lake")
+    parser.add_argument("--resume", action="store_true", help="skip finished stages of a batch")
     target = parser.add_mutually_exclusive_group()
     target.add_argument("--database", help="publish to catalog tables of this database")
     target.add_argument("--jdbc-url", help="publish to database tables")
@@ -49,7 +50,7 @@ def main(argv: list[str] | None = None) -> int:
         elif args.job == "benchmark":
             batch.run_benchmark(spark, raw, lake, f"{args.data_dir}/metrics")
         else:
-            print(batch.run_batch(spark, raw, lake, writer))
+            print(batch.run_batch(spark, raw, lake, writer, args.resume))
     except ContractViolation as violation:
         print(violation, file=sys.stderr)
         return 1

@@ -477,3 +477,42 @@ ORACLE["key_skew_sketch"] = _sql(
     "FROM (SELECT count(*) AS c FROM items GROUP BY product_id)",
     "items",
 )
+
+ORACLE["published_catalog_department_kpis"] = ORACLE["mart_department_kpis"]
+ORACLE["published_catalog_product_rank"] = ORACLE["mart_product_rank"]
+ORACLE["colocated_orders_with_baskets"] = ORACLE["orders_with_baskets"]
+
+
+def _size_figures(run: str, where: str) -> str:
+    counts = f"(SELECT count(*) AS c FROM items WHERE {where} GROUP BY product_id)"
+    return f"""
+        SELECT '{run}' AS run, unnest(['rows_order_products', 'skew_product_id_max_rows',
+                   'skew_product_id_median_rows', 'skew_ratio_max_to_median']) AS figure,
+               unnest([CAST(sum(c) AS DOUBLE), CAST(max(c) AS DOUBLE), quantile_disc(c, 0.5),
+                       round(max(c) / CAST(quantile_disc(c, 0.5) AS DOUBLE), 1)]) AS value
+        FROM {counts}"""
+
+
+ORACLE["metrics_history"] = _sql(
+    "SELECT run, figure, value, previous, round((value - previous) / previous, 4) AS change FROM ("
+    "SELECT *, lag(value) OVER (PARTITION BY figure ORDER BY run) AS previous FROM ("
+    f"{_size_figures('run 1', "eval_set = 'prior'")} UNION ALL {_size_figures('run 2', 'true')}))",
+    "items",
+)
+ORACLE["batch_stage_rows"] = _sql(
+    "\nUNION ALL\n".join(
+        [
+            f"SELECT '{stage}' AS stage, '{output}' AS output, count(*) AS n_rows FROM {source}"
+            for stage, output, source in (
+                ("clean", "products", "products"),
+                ("clean", "aisles", "aisles"),
+                ("clean", "departments", "departments"),
+                ("clean", "orders", "raw_orders"),
+                ("clean", "order_products", "items"),
+                *(("marts", mart, mart) for mart in MART_CONTRACTS),
+            )
+        ]
+        + ["SELECT 'checks', 'passed', 13"]
+    ),
+    *MART_CONTRACTS,
+)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
+from datetime import datetime, timezone
 from functools import partial
 
 from pyspark import StorageLevel
@@ -16,6 +17,7 @@ from basket_marts.plans.cleaning import (
     clean_order_products,
     clean_orders,
 )
+from basket_marts.plans.stages import Stage, StageLog
 from basket_marts.schemas import DIMENSIONS, ITEM_KEYS, MART_CONTRACTS, ORDER_KEYS
 from basket_marts.sinks import (
     publish_mart,
@@ -24,7 +26,7 @@ from basket_marts.sinks import (
     write_json,
     write_natural,
 )
-from basket_marts.sinks.publish import Writer
+from basket_marts.sinks.publish import ParquetFolder, Writer
 from basket_marts.sources import Lake, RawFiles
 
 
@@ -151,16 +153,51 @@ def publish(spark: SparkSession, lake_root: str, writer: Writer) -> dict[str, in
 
 
 def run_benchmark(spark: SparkSession, raw_root: str, lake_root: str, metrics_root: str, **kw):
+    """The newest figures as `benchmark`, and all so far as `history`."""
     figures = benchmark.metrics(spark, raw_root, lake_root, **kw)
     write_json(figures, f"{metrics_root}/benchmark")
+    schema = f"run STRING, {benchmark.METRICS_SCHEMA}"
+    kept = spark.read.schema(schema).json(f"{metrics_root}/benchmark").drop("run")
+    benchmark.append_metrics(kept, f"{metrics_root}/history", datetime.now(timezone.utc).isoformat())
+
+
+def batch_stages(
+    spark: SparkSession, raw_root: str, lake_root: str, writer: Writer, item_files: int | None = None
+) -> list[Stage]:
+    """Clean, build, check, publish, as stages that can be resumed. Published marts are only
+    known to be there, and so not published again, where the writer writes folders.
+    """
+    lake = Lake(spark, lake_root)
+    tables = [*(d.name for d in DIMENSIONS), "orders", "order_products"]
+    cleaned = [lake.table_path(name) for name in tables]
+    built = [lake.mart_path(name) for name in MART_CONTRACTS]
+    published = [f"{writer.root}/{name}" for name in MART_CONTRACTS] if isinstance(writer, ParquetFolder) else []
+
+    def cleaned_rows() -> dict[str, int]:
+        accounts = clean_audited(spark, raw_root, lake_root, item_files)
+        return {account.table_name: account.kept for account in accounts}
+
+    return [
+        Stage("clean", [raw_root], [*cleaned, lake.accounts_path()], cleaned_rows, {"item_files": item_files}),
+        Stage("marts", cleaned, built, lambda: build_marts(spark, lake_root)),
+        Stage("checks", [*cleaned, *built], [], lambda: {"passed": len(check_quality(spark, lake_root))}),
+        Stage("publish", built, published, lambda: publish(spark, lake_root, writer)),
+    ]
 
 
 def run_batch(
-    spark: SparkSession, raw_root: str, lake_root: str, writer: Writer
+    spark: SparkSession, raw_root: str, lake_root: str, writer: Writer, resume: bool = False
 ) -> dict[str, int]:
-    """Clean, build, check, publish. A failed check stops the batch before publishing. Rejected
-    rows are no failure; they are in the lake, see `clean_audited`."""
-    clean_audited(spark, raw_root, lake_root)
-    build_marts(spark, lake_root)
-    check_quality(spark, lake_root)
-    return publish(spark, lake_root, writer)
+    """Clean, build, check, publish; returns the rows published. A failed check stops the batch
+    before publishing. Rejected rows are no failure; they are in the lake, see `clean_audited`.
+
+    Every stage leaves a manifest in the lake. With `resume`, stages that have finished over the
+    same files are not run again.
+    """
+    log = StageLog(spark, f"{lake_root}/stages")
+    stages = batch_stages(spark, raw_root, lake_root, writer)
+    if not resume:
+        for stage in stages:
+            log.forget(stage.name)
+    log.run(stages)
+    return log.manifest("publish").figures

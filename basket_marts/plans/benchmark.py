@@ -6,7 +6,7 @@ from collections.abc import Callable, Mapping
 from statistics import median
 from time import perf_counter
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basket_marts.functions import ratio
@@ -15,6 +15,20 @@ from basket_marts.session import scoped_conf
 from basket_marts.sinks import run_to_nowhere
 from basket_marts.sources import Lake, RawFiles
 
+# The fields of the metrics document.
+SIZE_METRICS = (
+    "rows_order_products",
+    "skew_product_id_max_rows",
+    "skew_product_id_median_rows",
+    "skew_ratio_max_to_median",
+)
+METRICS_SCHEMA = (
+    "rows_order_products BIGINT, testA_shuffle_join_sec DOUBLE, testA_broadcast_join_sec DOUBLE, "
+    "testA_speedup_x DOUBLE, testB_csv_read_sec DOUBLE, testB_parquet_read_sec DOUBLE, "
+    "testB_speedup_x DOUBLE, skew_product_id_max_rows BIGINT, skew_product_id_median_rows BIGINT, "
+    "skew_ratio_max_to_median DOUBLE"
+)
+
 
 def _count_by(rows: DataFrame, key: str) -> DataFrame:
     return rows.groupBy(key).agg(F.count(F.lit(1)).alias("n_items"))
@@ -116,18 +130,49 @@ def metrics(spark: SparkSession, raw_root: str, lake_root: str, repeats: int = 5
     def faster(slow: float, fast: float):
         return F.round(ratio(F.lit(slow), F.lit(fast)), 2)
 
-    skew = key_skew(items, "product_id")
-    total = items.agg(F.count(F.lit(1)).alias("n")).scalar()
+    size = size_metrics(items)
     # The field names of the metrics document.
-    return skew.select(
-        total.alias("rows_order_products"),
+    return size.select(
+        "rows_order_products",
         F.lit(joins["shuffle_join"]).alias("testA_shuffle_join_sec"),
         F.lit(joins["broadcast_join"]).alias("testA_broadcast_join_sec"),
         faster(joins["shuffle_join"], joins["broadcast_join"]).alias("testA_speedup_x"),
         F.lit(formats["csv"]).alias("testB_csv_read_sec"),
         F.lit(formats["parquet"]).alias("testB_parquet_read_sec"),
         faster(formats["csv"], formats["parquet"]).alias("testB_speedup_x"),
+        *(c for c in size.columns if c != "rows_order_products"),
+    )
+
+
+def size_metrics(items: DataFrame) -> DataFrame:
+    """The figures that do not depend on the machine, as one row."""
+    total = items.agg(F.count(F.lit(1)).alias("n")).scalar()
+    return key_skew(items, "product_id").select(
+        total.alias("rows_order_products"),
         F.col("max_rows").alias("skew_product_id_max_rows"),
         F.col("median_rows").alias("skew_product_id_median_rows"),
         F.col("max_to_median").alias("skew_ratio_max_to_median"),
     )
+
+
+def append_metrics(figures: DataFrame, path: str, run: str) -> None:
+    """Add a one-row document to a history. `run` names it and sorts after earlier runs."""
+    figures.withColumn("run", F.lit(run)).coalesce(1).write.mode("append").json(path)
+
+
+def metrics_history(spark: SparkSession, path: str) -> DataFrame:
+    """All documents of a history under one schema. A field that a document lacks is NULL."""
+    return spark.read.schema(f"run STRING, {METRICS_SCHEMA}").json(path)
+
+
+def compare_runs(history: DataFrame, *figures: str) -> DataFrame:
+    """(run, figure, value, previous, change): each figure beside that of the run before, and the
+    change as a share of it (4 dp; NULL without an earlier value or where that is 0).
+    """
+    long = history.select("run", *(F.col(f).cast("double") for f in figures)).unpivot(
+        "run", list(figures), "figure", "value"
+    )
+    previous = F.lag("value").over(Window.partitionBy("figure").orderBy("run"))
+    return long.withColumn("previous", previous).withColumn(
+        "change", F.round(ratio(F.col("value") - F.col("previous"), F.col("previous")), 4)
+    )

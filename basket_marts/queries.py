@@ -13,10 +13,12 @@ from basket_marts.operators import dimension_join, skew
 from basket_marts.operators.distinct import distinct_counts, distinct_state, merge_distinct
 from basket_marts.operators.outliers import spread_stats
 from basket_marts.plans import batch, benchmark, cleaning, marts, merging, quality, reads
+from basket_marts.plans.colocated import ColocatedTables
 from basket_marts.plans.incremental import BasketState
+from basket_marts.plans.stages import StageLog
 from basket_marts.schemas import DIMENSIONS, MART_CONTRACTS
 from basket_marts.session import remove_folder, session_path
-from basket_marts.sinks import publish_mart, to_parquet
+from basket_marts.sinks import publish_mart, to_catalog, to_parquet
 from basket_marts.sources import Lake, PartitionedTable, RawFiles, SharedTables, read_csv
 from basket_marts.sources.raw_files import split_of_file
 
@@ -292,8 +294,8 @@ def _broken_lake(tables: SharedTables) -> Lake:
     for file, rows in lines.items():
         # One column whose name is the header line; without separators in it nothing is quoted.
         rows.write.mode("overwrite").csv(f"{root}/raw/{file}", header=True, sep="\x01")
-    dimensions = (tables.products(dirty=True), tables.aisles(dirty=True), tables.departments(dirty=True))
-    for dimension, rows in zip(DIMENSIONS, dimensions):
+    for dimension in DIMENSIONS:
+        rows = _raw_drop(tables, dirty=True)[dimension.file]
         rows.write.mode("overwrite").csv(f"{root}/raw/{dimension.file}", header=True)
     batch.clean_audited(tables.spark, f"{root}/raw", f"{root}/lake")
     return Lake(tables.spark, f"{root}/lake")
@@ -428,24 +430,73 @@ def incremental_hourly_demand(tables: SharedTables) -> DataFrame:
     return _state_after_drops(tables, "incremental-hours")[0].hourly_demand()
 
 
+# The catalog --------------------------------------------------------------------------
+
+
+def _published_in_catalog(name: str, mart: Callable[[SharedTables], DataFrame]) -> None:
+    """A mart published twice, first without a row of it, and read through its view."""
+
+    def query(tables: SharedTables) -> DataFrame:
+        writer = to_catalog("basket_published", session_path(tables.spark, "catalog", tables.root))
+        rows = _kept(tables, mart(tables), f"to-publish-{name}")
+        contract = MART_CONTRACTS[name]
+        publish_mart(rows.where("false"), name, contract, writer)
+        publish_mart(rows, name, contract, writer)
+        return tables.spark.table(f"basket_published.{name}")
+
+    query.__name__ = name.replace("mart_", "published_catalog_")
+    _query(query)
+
+
+_published_in_catalog("mart_department_kpis", mart_department_kpis)
+_published_in_catalog("mart_product_rank", mart_product_rank)
+
+BASKET_BUCKETS = 8
+
+
+def _colocated(tables: SharedTables) -> ColocatedTables:
+    root = session_path(tables.spark, "colocated", tables.root)
+    return ColocatedTables(tables.spark, "basket_colocated", root, BASKET_BUCKETS)
+
+
+@_query
+def colocated_orders_with_baskets(tables: SharedTables) -> DataFrame:
+    """Orders with their baskets from tables bucketed by order: stored once, joined without a shuffle."""
+    stored = _colocated(tables)
+    stored.write(_items(tables), tables.orders())
+    return stored.orders_with_baskets()
+
+
+@_query
+def metrics_history(tables: SharedTables) -> DataFrame:
+    """The size figures of two runs, the first over one split only, and how they changed."""
+    path = _new_folder(tables, "metrics")
+    items = _kept(tables, _items(tables).select("product_id", "eval_set"), "measured")
+    runs = {"run 1": items.where(F.col("eval_set") == schemas.PRIOR), "run 2": items}
+    for run, rows in runs.items():
+        benchmark.append_metrics(benchmark.size_metrics(rows), path, run)
+    return benchmark.compare_runs(benchmark.metrics_history(tables.spark, path), *benchmark.SIZE_METRICS)
+
+
 # The batch --------------------------------------------------------------------------
 
 
+def _raw_drop(tables: SharedTables, dirty: bool) -> dict[str, DataFrame]:
+    """The tables, or their dirty view, by raw file."""
+    return {
+        schemas.ORDERS_FILE: tables.orders(dirty),
+        schemas.PRIOR_ITEMS_FILE: tables.prior_items(dirty),
+        schemas.TRAIN_ITEMS_FILE: tables.train_items(dirty),
+        "products.csv": tables.products(dirty),
+        "aisles.csv": tables.aisles(dirty),
+        "departments.csv": tables.departments(dirty),
+    }
+
+
 def _cleaned_lake(tables: SharedTables) -> tuple[str, dict[str, int]]:
     """The dirty view as raw CSV files, cleaned into a lake; its folder and rows written."""
     root = session_path(tables.spark, "batch", tables.root)
-    raw = {
-        schemas.ORDERS_FILE: tables.orders(dirty=True),
-        schemas.PRIOR_ITEMS_FILE: tables.prior_items(dirty=True),
-        schemas.TRAIN_ITEMS_FILE: tables.train_items(dirty=True),
-    }
-    dimensions = (
-        tables.products(dirty=True),
-        tables.aisles(dirty=True),
-        tables.departments(dirty=True),
-    )
-    raw |= {dimension.file: rows for dimension, rows in zip(DIMENSIONS, dimensions)}
-    for file, rows in raw.items():
+    for file, rows in _raw_drop(tables, dirty=True).items():
         rows.write.mode("overwrite").csv(f"{root}/raw/{file}", header=True)
     return f"{root}/lake", batch.clean(tables.spark, f"{root}/raw", f"{root}/lake")
 
@@ -491,3 +542,23 @@ def dq_report_lake(tables: SharedTables) -> DataFrame:
     root, _ = _cleaned_lake(tables)
     batch.build_marts(tables.spark, root)
     return batch.lake_report(tables.spark, root)
+
+
+@_query
+def batch_stage_rows(tables: SharedTables) -> DataFrame:
+    """Rows of each stage's outputs, from the manifests of a batch that was stopped after its first
+    stage and then resumed, up to the checks."""
+    root, raw = _new_folder(tables, "stages"), session_path(tables.spark, "stages-raw", tables.root)
+    for file, rows in _raw_drop(tables, dirty=False).items():
+        rows.write.mode("overwrite").csv(f"{raw}/{file}", header=True)
+    stages = batch.batch_stages(tables.spark, raw, f"{root}/lake", to_parquet(f"{root}/published"))[:3]
+    log = StageLog(tables.spark, f"{root}/lake/stages")
+    log.run(stages[:1])
+    if log.run(stages) != [stage.name for stage in stages[1:]]:
+        raise RuntimeError("a finished stage ran again")
+    rows = [
+        (stage.name, output, n)
+        for stage in stages
+        for output, n in log.manifest(stage.name).figures.items()
+    ]
+    return tables.spark.createDataFrame(rows, "stage string, output string, n_rows bigint")

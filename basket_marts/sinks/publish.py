@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from basket_marts.schemas import MartContract
+from basket_marts.schemas import MART_CONTRACTS, MartContract
 from basket_marts.session import remove_folder, replace_folder, scratch_path
 
 Writer = Callable[[DataFrame, str], None]
@@ -52,12 +53,88 @@ def to_parquet(root: str) -> Writer:
     return ParquetFolder(root)
 
 
-def to_catalog(database: str) -> Writer:
-    def write(rows: DataFrame, name: str) -> None:
-        rows.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
-        rows.write.mode("overwrite").format("parquet").saveAsTable(f"`{database}`.`{name}`")
+class CatalogTables:
+    """Published marts as views of one database, each over the newest version of its table.
 
-    return write
+    A mart is written as a table of its own, with its contract and stored order as properties.
+    Replacing the view is then one change in the catalog: readers see the old mart or the new
+    one, and whatever fails before leaves the old one readable. The version before the newest
+    stays, for readers that have begun; older ones are dropped. A plain table of the mart's
+    name, as earlier releases left it, becomes the oldest version.
+    """
+
+    COLUMNS, SORTED_BY, VERSION = (f"basketmarts.{p}" for p in ("columns", "sortedBy", "version"))
+
+    def __init__(self, database: str, location: str | None = None):
+        self.database, self.location = database, location
+
+    def _name(self, table: str) -> str:
+        return f"`{self.database}`.`{table}`"
+
+    def versions(self, spark: SparkSession, name: str) -> list[str]:
+        """Tables that hold versions of a mart, oldest first."""
+        found = spark.sql(f"SHOW TABLES IN `{self.database}` LIKE '{name}__v*'").collect()
+        return sorted(row.tableName for row in found)
+
+    def properties(self, spark: SparkSession, table: str) -> dict[str, str]:
+        rows = spark.sql(f"SHOW TBLPROPERTIES {self._name(table)}").collect()
+        return {row.key: row.value for row in rows}
+
+    def current(self, spark: SparkSession, name: str) -> str | None:
+        """The table that a mart's view shows."""
+        if not spark.catalog.tableExists(f"{self.database}.{name}"):
+            return None
+        return self.properties(spark, name).get(self.VERSION)
+
+    def _write(self, rows: DataFrame, name: str, version: str) -> None:
+        spark = rows.sparkSession
+        target = rows.write.format("parquet")
+        if self.location:
+            target = target.option("path", f"{self.location}/{version}")
+        target.saveAsTable(self._name(version))
+        contract = MART_CONTRACTS.get(name)
+        columns = ", ".join(f"{c} {t}" for c, t in rows.dtypes)
+        sorted_by = ", ".join(contract.sort_by) if contract else ""
+        spark.sql(
+            f"ALTER TABLE {self._name(version)} SET TBLPROPERTIES "
+            f"('{self.COLUMNS}' = '{columns}', '{self.SORTED_BY}' = '{sorted_by}')"
+        )
+
+    def _show(self, spark: SparkSession, name: str, version: str) -> None:
+        """The one step that publishes."""
+        spark.sql(
+            f"CREATE OR REPLACE VIEW {self._name(name)} "
+            f"TBLPROPERTIES ('{self.VERSION}' = '{version}') AS SELECT * FROM {self._name(version)}"
+        )
+
+    def _drop(self, spark: SparkSession, version: str) -> None:
+        spark.sql(f"DROP TABLE IF EXISTS {self._name(version)}")
+        if self.location:
+            remove_folder(spark, f"{self.location}/{version}")
+
+    def __call__(self, rows: DataFrame, name: str) -> None:
+        spark = rows.sparkSession
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}`")
+        before = self.current(spark, name)
+        if before is None and spark.catalog.tableExists(f"{self.database}.{name}"):
+            before = f"{name}__v0"
+            spark.sql(f"ALTER TABLE {self._name(name)} RENAME TO {self._name(before)}")
+        version = f"{name}__v{time.time_ns():020d}_{uuid.uuid4().hex[:8]}"
+        try:
+            self._write(rows, name, version)
+            self._show(spark, name, version)
+        except BaseException:
+            if self.current(spark, name) != version:
+                self._drop(spark, version)
+            raise
+        for old in self.versions(spark, name):
+            if old not in (before, version):
+                self._drop(spark, old)
+
+
+def to_catalog(database: str, location: str | None = None) -> Writer:
+    """Versions are external tables below `location`, or managed ones without it."""
+    return CatalogTables(database, location)
 
 
 def to_jdbc(url: str, **options: str) -> Writer:

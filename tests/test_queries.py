@@ -30,7 +30,7 @@ def duck(folder):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
-    assert len(QUERIES) == 43
+    assert len(QUERIES) == 48
     assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
