@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -75,6 +76,21 @@ def code_points(text: str | Column) -> Column:
     return F.coalesce(F.char_length(text), F.lit(0)).cast("bigint")
 
 
+@lru_cache(maxsize=1)
+def _c_library():
+    return ctypes.CDLL(None)
+
+
+def release_memory() -> None:
+    """Give what Arrow and the C library hold free back to the system. A Python worker lives on
+    for other tasks, and idle ones would add to an executor's memory in later stages.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(_c_library(), "malloc_trim", None)
+    if trim is not None:  # glibc only
+        trim(0)
+
+
 def text_slices(
     batches: Iterator[pa.RecordBatch], column: str = "text", size: int = 2 << 20
 ) -> Iterator[pa.RecordBatch]:
@@ -91,8 +107,7 @@ def text_slices(
             last = max(first + 1, int(np.searchsorted(ends, before + size, "right")))
             yield batch.slice(first, last - first)
             first = last
-    # The worker process lives on for other tasks; what Arrow still holds is given back.
-    pa.default_memory_pool().release_unused()
+    release_memory()
 
 
 @lru_cache(maxsize=2)

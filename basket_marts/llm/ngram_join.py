@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from basket_marts.llm.common import (
     lookup_join,
     pack_rest,
+    release_memory,
     row_key,
     shuffle_width,
     stored,
@@ -244,6 +245,7 @@ def _shared_parts(parts: DataFrame, n_fragments: int) -> DataFrame:
                      found.astype(_U4).tobytes(), shingles[entries].tobytes(),
                      shared[entries].astype(_U2).tobytes())
                 )
+        release_memory()
         return pa.Table.from_batches([_packed(rows)], schema=_PARTS_ARROW)
 
     return parts.groupBy("place").applyInArrow(count, _PARTS)
@@ -290,6 +292,7 @@ def _near_sets(parts: DataFrame) -> DataFrame:
                     "prefix": own[: max(0, prefix)].tolist(),
                 }
             )
+        release_memory()
         return pa.Table.from_pylist(rows, schema=_NEAR)
 
     schema = (
@@ -417,6 +420,7 @@ def _links(near: DataFrame, families: DataFrame, n_tasks: int) -> DataFrame:
                 found_a.append(classes[group[moved]])
                 found_b.append(classes[group[root[moved]]])
         empty = [np.zeros(0, dtype=np.int64)]
+        release_memory()
         return pa.table(
             {"a": np.concatenate(found_a or empty), "b": np.concatenate(found_b or empty)}
         )
