@@ -85,7 +85,7 @@ ORACLE["op2_warc"] = """
     FROM hashed LEFT JOIN originals USING (payload_digest, payload_bytes)"""
 
 
-# Shingles as text; every window at which an item's shingle is aligned, compared in full.
+# Shingles as text; of each text and item that share any, windows at every start in full.
 ORACLE["op6_decontaminate"] = rf"""
     WITH texts AS (
         SELECT 'd' AS kind, doc_id AS id, text FROM documents
@@ -109,9 +109,9 @@ ORACLE["op6_decontaminate"] = rf"""
               FROM worded, (SELECT DISTINCT width FROM items)
               WHERE kind = 'd' AND words <> [''])),
     windows AS (
-        SELECT DISTINCT d.doc_id, i.item_id, i.length, d.width,
-               least(greatest(d.place - i.place, 0), greatest(d.n_words - i.length, 0)) AS start
-        FROM doc_shingles d JOIN item_shingles i USING (width, shingle)),
+        SELECT *, unnest(range(greatest(n_words - length, 0) + 1)) AS start FROM (
+            SELECT DISTINCT d.doc_id, d.n_words, i.item_id, i.length, d.width
+            FROM doc_shingles d JOIN item_shingles i USING (width, shingle))),
     window_weights AS (
         SELECT w.doc_id, w.item_id, w.start, w.width, d.shingle, count(*) AS weight
         FROM windows w JOIN doc_shingles d ON d.doc_id = w.doc_id AND d.width = w.width
