@@ -15,6 +15,30 @@ def _literal(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+_NEEDED = (
+    f"CASE WHEN len(tokens) >= {line_dedup.LONG_TOKENS} THEN {line_dedup.LONG_MIN_DOCS} "
+    f"ELSE {line_dedup.MIN_DOCS} END"
+)
+
+
+def _run_start(i: str) -> str:
+    n_runs = f"(len(tokens) - ceil({line_dedup.SIMILARITY} * len(tokens)) + 1)"
+    lead = line_dedup.LEADING_TOKENS
+    return f"CAST({lead} + 1 + floor({i} * (len(tokens) - {lead}) / {n_runs}) AS BIGINT)"
+
+
+def _with_runs(source: str) -> str:
+    """Each row of `source` once for every run of its tokens behind the leading ones."""
+    n_runs = f"CAST(len(tokens) - ceil({line_dedup.SIMILARITY} * len(tokens)) + 1 AS BIGINT)"
+    run = f"array_to_string(tokens[{_run_start('nth')} : {_run_start('(nth + 1)')} - 1], ' ')"
+    return f"(SELECT *, {run} AS run FROM (SELECT *, unnest(range({n_runs})) AS nth FROM {source}))"
+
+
+def _alike(tokens: str, shown: str) -> str:
+    same = f"list_transform(list_zip({tokens}, {shown}), lambda x: CAST(x[1] = x[2] AS INT))"
+    return f"list_sum({same}) >= {line_dedup.SIMILARITY} * len({tokens})"
+
+
 ORACLE["op1_line_dedup"] = rf"""
     WITH masked AS (
         SELECT doc_id, coalesce(text, '') AS text,
@@ -28,16 +52,16 @@ ORACLE["op1_line_dedup"] = rf"""
         FROM (SELECT DISTINCT doc_id, unnest(masked) AS line FROM masked)
         WHERE line <> '' GROUP BY line),
     leaved AS (
-        SELECT *, len(tokens) || ' ' || array_to_string(tokens[1:{line_dedup.LEADING_TOKENS}], ' ')
-                   AS leaf
-        FROM lines),
+        SELECT *, {_NEEDED} AS needed,
+               len(tokens) || ' ' || array_to_string(tokens[1:{line_dedup.LEADING_TOKENS}], ' ') AS leaf
+        FROM lines WHERE len(tokens) >= {line_dedup.MIN_TOKENS}),
     placed AS (
-        SELECT leaf, line, n_docs, unnest(tokens) AS token,
+        SELECT leaf, line, n_docs, needed, unnest(tokens) AS token,
                unnest(range(1, len(tokens) + 1)) AS place
-        FROM leaved WHERE len(tokens) >= {line_dedup.MIN_TOKENS}),
+        FROM leaved),
     fixed AS (
-        SELECT leaf, place, token FROM placed GROUP BY ALL
-        HAVING sum(n_docs) >= {line_dedup.MIN_DOCS}),
+        SELECT leaf, place, token FROM placed GROUP BY leaf, place, token, needed
+        HAVING sum(n_docs) >= needed),
     templates AS (
         SELECT p.leaf, p.line,
                string_agg(coalesce(f.token, '{line_dedup.FIELD}'), ' ' ORDER BY p.place) AS template
@@ -45,14 +69,33 @@ ORACLE["op1_line_dedup"] = rf"""
         GROUP BY p.leaf, p.line
         HAVING count(f.token) >= {line_dedup.SIMILARITY} * count(*)),
     recurring AS (
-        SELECT leaf, template, min(first_doc) AS keeper
-        FROM templates JOIN leaved USING (leaf, line) GROUP BY leaf, template
-        HAVING sum(n_docs) >= {line_dedup.MIN_DOCS} AND max(last_doc) > min(first_doc)),
+        SELECT leaf, template, string_split(template, ' ') AS tokens, sum(n_docs) AS n_docs,
+               min(first_doc) AS keeper
+        FROM templates JOIN leaved USING (leaf, line) GROUP BY leaf, template, needed
+        HAVING sum(n_docs) >= needed AND max(last_doc) > min(first_doc)),
+    same AS (SELECT line, keeper FROM templates JOIN recurring USING (leaf, template)),
+    rare AS (SELECT * FROM leaved WHERE line NOT IN (SELECT line FROM same)),
+    centres AS (
+        SELECT leaf, nth, run, template, keeper FROM {_with_runs("recurring")}
+        QUALIFY row_number() OVER (PARTITION BY leaf, nth, run ORDER BY n_docs DESC, template) = 1),
+    variants AS (
+        SELECT line, keeper FROM {_with_runs("rare")} JOIN centres USING (leaf, nth, run)
+        WHERE {_alike("tokens", "string_split(template, ' ')")}),
+    most AS (
+        SELECT leaf, place, CASE WHEN sum(n_docs) >= needed THEN token ELSE '{line_dedup.FIELD}' END AS shown
+        FROM placed WHERE line IN (SELECT line FROM rare) GROUP BY leaf, place, token, needed
+        QUALIFY row_number() OVER (PARTITION BY leaf, place ORDER BY sum(n_docs) DESC, token DESC) = 1),
+    consensus AS (SELECT leaf, list(shown ORDER BY place) AS shown FROM most GROUP BY leaf),
+    gathered AS (SELECT * FROM rare JOIN consensus USING (leaf) WHERE {_alike("tokens", "shown")}),
+    together AS (
+        SELECT leaf, min(first_doc) AS keeper FROM gathered GROUP BY leaf, needed
+        HAVING sum(n_docs) >= needed AND max(last_doc) > min(first_doc)),
     dropped AS (
         SELECT line, min(keeper) AS keeper FROM (
-            SELECT line, first_doc AS keeper FROM lines WHERE n_docs >= {line_dedup.MIN_DOCS}
-            UNION ALL
-            SELECT line, keeper FROM templates JOIN recurring USING (leaf, template))
+            SELECT line, first_doc AS keeper FROM lines WHERE n_docs >= {_NEEDED}
+            UNION ALL SELECT * FROM same
+            UNION ALL SELECT * FROM variants
+            UNION ALL SELECT line, keeper FROM gathered JOIN together USING (leaf))
         GROUP BY line),
     gone AS (
         SELECT doc_id, list(line) AS gone
