@@ -1,10 +1,12 @@
 """Exact Jaccard join of documents on word shingles, by vertical partitioning.
 
 The space of shingles is cut into fragments. A fragment holds its part of every document's
-set and knows of each of its shingles how many different sets have it; so it counts, apart
-from all other fragments, how many shingles a set shares with any other, and hands back the
-shared ones. Partial counts are summed per document: one that shares fewer than three
-quarters of its set links with nothing, which leaves the near copies.
+set and knows of each of its shingles how many sets have it; so it counts, apart from all
+other fragments, how many shingles a set shares with any other, and hands back the shared
+ones. Partial counts are summed per set: one that shares fewer than three quarters of itself
+links with nothing, which leaves the near copies. These counts are of a set against all others;
+overlaps of pairs are counted whole, in the families that follow, for pairs as rows would be
+millions in one family of near copies.
 
 Of these the rarest shingles (the prefix: any two that link have one in common) are joined
 to find families that may hold links. In a family, overlaps are counted shingle by shingle
@@ -12,7 +14,7 @@ and summed per pair, one member against all others at a time. Members already kn
 connected need no comparison, and pairs are never rows: a family of thousands of near copies
 has millions. Documents with equal sets are one class from the start.
 
-Shingles and sets stand in as 64-bit hashes.
+Sets stand in as 64-bit hashes, shingles as their fragment and 40 bits.
 """
 
 from __future__ import annotations
@@ -22,6 +24,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -90,20 +94,31 @@ def document_sets(docs: DataFrame) -> DataFrame:
 
 # Fragments ----------------------------------------------------------------------------
 #
-# Parts of sets travel packed: a row holds the parts of many sets, as one array each of
-# their classes, set sizes, numbers of shingles, and all the shingles one after another.
-
-_PARTS = "place int, classes binary, sizes binary, counts binary, shingles binary, shared binary"
-_PARTS_ARROW = pa.schema(
+# Sets travel packed, a row for what a chunk of texts has in a fragment: one number of the
+# chunk, and for each shingle which set of the chunk has it and the shingle itself, seven bytes
+# together however many fragments there are. What the sets are goes another way, in a row
+# for the whole chunk.
+
+_CUT = pa.schema(
+    [("place", pa.int32()), ("chunk", pa.int64())]
+    + [(c, pa.binary()) for c in ("owners", "shingles", "classes", "sizes")]
+)
+_SHARED = pa.schema(
     [("place", pa.int32())]
-    + [(c, pa.binary()) for c in ("classes", "sizes", "counts", "shingles", "shared")]
+    + [(c, pa.binary()) for c in ("sets", "counts", "shingles", "shared", "classes", "sizes")]
 )
+_CUT_DDL, _SHARED_DDL = (
+    ", ".join(f"{f.name} {'binary' if pa.types.is_binary(f.type) else 'bigint' if f.name == 'chunk' else 'int'}" for f in schema)
+    for schema in (_CUT, _SHARED)
+)
+# A set is numbered by its chunk and its place there.
+_OWNER_BITS = 16
+_MOST_OWNERS = 1 << _OWNER_BITS
 
 
-def _packed(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pylist(
-        [dict(zip(_PARTS_ARROW.names, row)) for row in rows], schema=_PARTS_ARROW
-    )
+def _packed(rows: list[dict], schema: pa.Schema) -> pa.RecordBatch:
+    filled = [{f.name: row.get(f.name, b"" if pa.types.is_binary(f.type) else 0) for f in schema} for row in rows]
+    return pa.RecordBatch.from_pylist(filled, schema=schema)
 
 
 def _joined(column: pa.ChunkedArray, kind: np.dtype) -> np.ndarray:
@@ -137,18 +152,26 @@ def _by_place(place: np.ndarray, owner: np.ndarray, n_places: int):
         yield int(place[first[a]]), order[first[a] : stop], owner[first[a:b]], counts[a:b]
 
 
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in text_slices(batches, size=CHUNK_BYTES):
+        for first in range(0, batch.num_rows, _MOST_OWNERS):
+            yield batch.slice(first, _MOST_OWNERS)
+
+
 def _to_fragments(docs: DataFrame, n_fragments: int) -> DataFrame:
-    """Parts of sets by fragment.
+    """What each chunk of texts has in each fragment, and, by chunk, its sets.
 
     A shingle that many sets of a chunk have is counted there: its fragment gets it once,
-    marked, and the sets' own entries go to a place of their class instead, so that no
-    fragment gathers the occurrences of a very common shingle. Copies of a set that a task
-    meets again are left out.
+    marked, and the sets' own entries go where the chunk's sets are gathered, so that no
+    fragment collects the occurrences of a very common shingle. Copies of a set that a task
+    meets again are left out; those of other tasks count as other sets until they are gathered.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[int] = set()
-        for batch in text_slices(batches, size=CHUNK_BYTES):
+        chunk = TaskContext.get().partitionId() << 20
+        for batch in _chunks(batches):
+            chunk += 1
             sets, classes = [], []
             for hashes in shingle_sets(batch.column("text")):
                 if not len(hashes):
@@ -163,7 +186,6 @@ def _to_fragments(docs: DataFrame, n_fragments: int) -> DataFrame:
             if not sets:
                 continue
             sizes = np.array([len(s) for s in sets], dtype=_U4)
-            classes = np.array(classes, dtype=np.int64)
             owner = np.repeat(np.arange(len(sets), dtype=np.int64), sizes)
             shingles = np.concatenate(sets)
             fragment = (((shingles >> np.uint64(32)) * np.uint64(n_fragments)) >> np.uint64(32)).astype(np.int64)
@@ -172,59 +194,62 @@ def _to_fragments(docs: DataFrame, n_fragments: int) -> DataFrame:
             runs = np.flatnonzero(np.append(True, by_shingle[1:] != by_shingle[:-1]))
             lengths = np.diff(runs, append=len(by_shingle))
             common = by_shingle[runs[lengths >= COMMON]]
-            rows = []
+            home = {"place": n_fragments + chunk % n_fragments, "chunk": chunk}
+            rows = [home | {"classes": np.array(classes, dtype="<i8").tobytes(), "sizes": sizes.tobytes()}]
             if len(common):
                 at = np.minimum(np.searchsorted(common, shingles), len(common) - 1)
                 is_common = common[at] == shingles
-                place = n_fragments + (classes[owner[is_common]] % n_fragments)
-                held, held_owner = shingles[is_common], owner[is_common]
-                for to, entries, owners, counts in _by_place(place, held_owner, 2 * n_fragments):
-                    rows.append(
-                        (to, classes[owners].tobytes(), sizes[owners].tobytes(),
-                         counts.astype(_U4).tobytes(), held[entries].tobytes(), b"")
-                    )
+                held = {"owners": owner[is_common].astype(_U2).tobytes(), "shingles": shingles[is_common].tobytes()}
+                rows.append(home | held)
                 fragment, owner, shingles = fragment[~is_common], owner[~is_common], shingles[~is_common]
                 marks = (common >> _SUFFIX_BITS).astype(np.int64)
                 for to, entries, _, _ in _by_place(marks, np.zeros(len(marks), np.int64), n_fragments):
-                    rows.append((to, b"", b"", b"", b"", _narrow(common[entries])))
+                    rows.append({"place": to, "shingles": _narrow(common[entries])})
             if len(shingles):
-                for to, entries, owners, counts in _by_place(fragment, owner, n_fragments):
-                    rows.append(
-                        (to, classes[owners].tobytes(), sizes[owners].tobytes(),
-                         counts.astype(_U4).tobytes(), _narrow(shingles[entries]), b"")
-                    )
-            yield _packed(rows)
+                for to, entries, _, _ in _by_place(fragment, owner, n_fragments):
+                    owners = owner[entries].astype(_U2).tobytes()
+                    rows.append({"place": to, "chunk": chunk, "owners": owners, "shingles": _narrow(shingles[entries])})
+            yield _packed(rows, _CUT)
+
+    return docs.select("doc_id", "text").mapInArrow(cut, _CUT_DDL)
 
-    return docs.select("doc_id", "text").mapInArrow(cut, _PARTS)
 
+def _numbered(chunk: pa.ChunkedArray, owners: pa.ChunkedArray) -> np.ndarray:
+    """The sets that the entries of some rows belong to."""
+    counts = [len(o) // _U2.itemsize for o in owners.to_pylist()]
+    return (np.repeat(chunk.to_numpy(), counts) << _OWNER_BITS) | _joined(owners, _U2).astype(np.int64)
 
-def _shared_parts(parts: DataFrame, n_fragments: int) -> DataFrame:
-    """From each fragment the shingles that at least two sets have, by class, with how many
-    (`shared`, up to a maximum that also stands for common ones).
+
+def _shared_parts(cut: DataFrame, n_fragments: int) -> DataFrame:
+    """From each fragment the shingles that at least two sets have, by the place where their
+    sets are gathered, with how many (`shared`, up to a maximum that also stands for common ones).
+    What went there directly is handed on.
     """
 
     def count(table: pa.Table) -> pa.Table:
-        place = table.column("place")[0].as_py()
-        classes = _joined(table.column("classes"), np.dtype(np.int64))
-        sizes = _joined(table.column("sizes"), _U4)
-        counts = _joined(table.column("counts"), _U4)
-        data = _joined(table.column("shingles"), np.dtype(np.uint8))
+        place, owners = table.column("place")[0].as_py(), table.column("owners")
+        rows = []
         if place >= n_fragments:
-            shingles = data.view(_U8)
-            owner = np.repeat(np.arange(len(classes)), counts)
-            shared = np.full(len(shingles), _EVERYWHERE)
+            for row in table.select(["chunk", "owners", "shingles", "classes", "sizes"]).to_pylist():
+                to, first = place - n_fragments, row["chunk"] << _OWNER_BITS
+                if row["classes"]:
+                    sets = first | np.arange(len(row["classes"]) // 8, dtype=np.int64)
+                    rows.append({"place": to, "sets": sets.tobytes(), "classes": row["classes"], "sizes": row["sizes"]})
+                else:
+                    own, counts = np.unique(np.frombuffer(row["owners"], dtype=_U2), return_counts=True)
+                    everywhere = np.full(counts.sum(), _EVERYWHERE, dtype=_U2)
+                    rows.append(
+                        {"place": to, "sets": (first | own.astype(np.int64)).tobytes(), "counts": counts.astype(_U4).tobytes(),
+                         "shingles": row["shingles"], "shared": everywhere.tobytes()}
+                    )
         else:
-            marked = np.unique(_wide(_joined(table.column("shared"), np.dtype(np.uint8))))
-            known, first, number = np.unique(classes, return_index=True, return_inverse=True)
-            classes, sizes = known, sizes[first]
-            # Shingle and class in one number: sorting it finds copies and counts sets.
-            suffix = _wide(data)
-            bits = np.uint64(24)
-            owner = np.repeat(number.astype(_U8), counts)
-            if len(classes) >= 1 << 24:
-                raise ValueError("too many sets in a fragment; raise the number of fragments")
-            both = np.unique((suffix << bits) | owner)
-            suffix, owner = both >> bits, (both & np.uint64((1 << 24) - 1)).astype(np.int64)
+            has_owner = pa.compute.greater(pa.compute.binary_length(owners), 0)
+            held, marks = table.filter(has_owner), table.filter(pa.compute.invert(has_owner))
+            marked = np.unique(_wide(_joined(marks.column("shingles"), np.dtype(np.uint8))))
+            sets, owner = np.unique(_numbered(held.column("chunk"), held.column("owners")), return_inverse=True)
+            suffix = _wide(_joined(held.column("shingles"), np.dtype(np.uint8)))
+            order = np.lexsort((owner, suffix))
+            suffix, owner = suffix[order], owner[order]
             runs = np.flatnonzero(np.append(True, suffix[1:] != suffix[:-1]))[: len(suffix)]
             lengths = np.diff(runs, append=len(suffix))
             df = np.repeat(np.minimum(lengths, int(_EVERYWHERE) - 1), lengths).astype(_U2)
@@ -236,19 +261,17 @@ def _shared_parts(parts: DataFrame, n_fragments: int) -> DataFrame:
             shingles = (np.uint64(place) << _SUFFIX_BITS) | suffix[keep]
             order = np.argsort(owner, kind="stable")
             owner, shared, shingles = owner[order], shared[order], shingles[order]
-        rows = []
-        if len(shingles):
-            bucket = (classes[owner] % n_fragments).astype(np.int64)
-            for to, entries, owners, found in _by_place(bucket, owner, n_fragments):
-                rows.append(
-                    (to, classes[owners].tobytes(), sizes[owners].tobytes(),
-                     found.astype(_U4).tobytes(), shingles[entries].tobytes(),
-                     shared[entries].astype(_U2).tobytes())
-                )
+            if len(shingles):
+                home = (sets >> _OWNER_BITS) % n_fragments
+                for to, entries, owners_there, found in _by_place(home[owner], owner, n_fragments):
+                    rows.append(
+                        {"place": to, "sets": sets[owners_there].tobytes(), "counts": found.astype(_U4).tobytes(),
+                         "shingles": shingles[entries].tobytes(), "shared": shared[entries].astype(_U2).tobytes()}
+                    )
         release_memory()
-        return pa.Table.from_batches([_packed(rows)], schema=_PARTS_ARROW)
+        return pa.Table.from_batches([_packed(rows, _SHARED)], schema=_SHARED)
 
-    return parts.groupBy("place").applyInArrow(count, _PARTS)
+    return cut.groupBy("place").applyInArrow(count, _SHARED_DDL)
 
 
 def _near_sets(parts: DataFrame) -> DataFrame:
@@ -260,14 +283,18 @@ def _near_sets(parts: DataFrame) -> DataFrame:
     """
 
     def gather(table: pa.Table) -> pa.Table:
-        classes = _joined(table.column("classes"), np.dtype(np.int64))
-        sizes = _joined(table.column("sizes"), _U4).astype(np.int64)
-        counts = _joined(table.column("counts"), _U4)
-        shingles = _joined(table.column("shingles"), _U8)
-        shared = _joined(table.column("shared"), _U2)
-        known, first, number = np.unique(classes, return_index=True, return_inverse=True)
-        sizes = sizes[first]
-        enough = np.bincount(number, weights=counts) * 100 >= sizes * PERCENT
+        is_known = pa.compute.greater(pa.compute.binary_length(table.column("classes")), 0)
+        of_sets, parts = table.filter(is_known), table.filter(pa.compute.invert(is_known))
+        numbers = _joined(of_sets.column("sets"), np.dtype(np.int64))
+        by_number = np.argsort(numbers)
+        numbers = numbers[by_number]
+        known = _joined(of_sets.column("classes"), np.dtype(np.int64))[by_number]
+        sizes = _joined(of_sets.column("sizes"), _U4).astype(np.int64)[by_number]
+        counts = _joined(parts.column("counts"), _U4)
+        shingles = _joined(parts.column("shingles"), _U8)
+        shared = _joined(parts.column("shared"), _U2)
+        number = np.searchsorted(numbers, _joined(parts.column("sets"), np.dtype(np.int64)))
+        enough = np.bincount(number, weights=counts, minlength=len(numbers)) * 100 >= sizes * PERCENT
         owner = np.repeat(number, counts)
         keep = enough[owner]
         owner, shingles, shared = owner[keep], shingles[keep], shared[keep]
@@ -378,7 +405,9 @@ def _links(near: DataFrame, families: DataFrame, n_tasks: int) -> DataFrame:
     A family too large for a task is cut into parts, and every two parts meet in a task.
     """
     # Who goes where is settled without the sets, which then move once.
-    members = stored(near.select("set_class", "n_shared").join(families, "set_class"), "members")
+    # Copies of a set that different tasks had are still apart.
+    classes = near.select("set_class", "n_shared").distinct()
+    members = stored(classes.join(families, "set_class"), "members")
     large = (
         members.groupBy("family")
         .agg(F.sum("n_shared").alias("held"))
@@ -409,6 +438,8 @@ def _links(near: DataFrame, families: DataFrame, n_tasks: int) -> DataFrame:
         held = table.column("shingles").to_pylist()
         keys = np.stack([table.column(c).to_numpy() for c in ("family", "low", "high")])
         order = np.lexsort((classes, *keys[::-1]))
+        again = (keys[:, order][:, 1:] == keys[:, order][:, :-1]).all(0) & (classes[order][1:] == classes[order][:-1])
+        order = order[np.append(True, ~again)]
         keys = keys[:, order]
         cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1
         found_a, found_b = [], []
