@@ -76,6 +76,25 @@ def code_points(text: str | Column) -> Column:
     return F.coalesce(F.char_length(text), F.lit(0)).cast("bigint")
 
 
+_CACHES: list = []
+
+
+def remembered(make):
+    """Make a value once per argument and Python worker, until `forget_remembered`."""
+    cached = lru_cache(maxsize=2)(make)
+    _CACHES.append(cached)
+    return cached
+
+
+def forget_remembered() -> None:
+    """Drop what operators remembered in this Python worker: an early stage calls it, so that
+    what the last one of an earlier run filled does not stay through all stages of the next.
+    """
+    for cached in _CACHES:
+        cached.cache_clear()
+    release_memory()
+
+
 @lru_cache(maxsize=1)
 def _c_library():
     return ctypes.CDLL(None)

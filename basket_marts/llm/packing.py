@@ -17,7 +17,6 @@ import heapq
 import unicodedata
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +24,7 @@ import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from basket_marts.llm.common import library_tokenizer, text_slices
+from basket_marts.llm.common import library_tokenizer, remembered, text_slices
 from basket_marts.llm.token_counts import byte_symbols
 
 CAPACITY = 2048
@@ -210,7 +209,7 @@ class TextIds:
                 yield b"".join(map(self.words.__getitem__, words))
 
 
-@lru_cache(maxsize=2)
+@remembered
 def _text_ids(path: str) -> TextIds:
     return TextIds(path)
 

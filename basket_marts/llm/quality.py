@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basket_marts.llm.common import pack_rest, text_slices, unpack_rest
+from basket_marts.llm.common import forget_remembered, pack_rest, text_slices, unpack_rest
 from basket_marts.llm.shingles import word_hashes
 
 # Bounds of the fitting sample: about so many rows of each kind.
@@ -211,6 +211,7 @@ def scores(texts: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame:
     weights, bias = model
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_remembered()
         for batch in text_slices(batches, size=_SLICE_BYTES):
             found = _sigmoid(batch_features(batch.column("text")) @ weights + bias)
             columns = [*batch.columns, pa.array(found, type=pa.float64())]
