@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from basket_marts.functions import ratio
 from basket_marts.operators import heavy_keys
-from basket_marts.session import remove_folder, scratch_path
+from basket_marts.session import remove_folder
 
 BUCKET_BY = ("order_id", "salt")
 
@@ -82,8 +82,3 @@ class ColocatedTables:
         rate = ratio(F.col("reordered_sum"), F.col("reordered_known"))
         kept = [c for c in self.table("orders").columns if c != "salt"]
         return orders.select(*kept, "basket_size", rate.alias("order_reorder_rate"))
-
-
-def colocated_scratch(spark: SparkSession, database: str, buckets: int) -> ColocatedTables:
-    """Tables below a new scratch folder."""
-    return ColocatedTables(spark, database, scratch_path(spark, database), buckets)

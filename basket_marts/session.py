@@ -98,9 +98,24 @@ def _scratch_root(spark: SparkSession) -> str:
     return f"{shared.rstrip('/')}/basket_marts"
 
 
+_owned: set[str] = set()
+
+
+def session_root(spark: SparkSession) -> str:
+    """This session's folder in the scratch folder. It is deleted when the driver's JVM ends."""
+    root = f"{_scratch_root(spark)}/{spark.sparkContext.applicationId}"
+    if root not in _owned:
+        _owned.add(root)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+        files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(folder)
+        files.deleteOnExit(folder)
+    return root
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path in the shared scratch folder."""
-    return f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new path in the session's scratch folder."""
+    return f"{session_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def session_path(spark: SparkSession, label: str, source: str) -> str:
@@ -108,7 +123,7 @@ def session_path(spark: SparkSession, label: str, source: str) -> str:
     to be overwritten, so that repeated runs leave one copy.
     """
     key = hashlib.sha256(source.encode()).hexdigest()[:16]
-    return f"{_scratch_root(spark)}/{spark.sparkContext.applicationId}/{label}-{key}"
+    return f"{session_root(spark)}/{label}-{key}"
 
 
 @contextmanager

@@ -1,4 +1,7 @@
 import json
+import subprocess
+import sys
+import time
 from pathlib import Path
 
 import pytest
@@ -129,6 +132,22 @@ def test_session_takes_what_the_environment_and_caller_name(spark, monkeypatch):
     session.conf.set("spark.sql.shuffle.partitions", before)
 
 
+def test_scratch_is_gone_when_the_session_has_ended(tmp_path):
+    code = (
+        "from pyspark.sql import SparkSession\n"
+        "from basket_marts.session import scratch_path\n"
+        "s = SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false')"
+        f".config('spark.checkpoint.dir', '{tmp_path}').getOrCreate()\n"
+        "s.range(5).write.parquet(scratch_path(s, 'x'))\n"
+        f"import os; assert os.listdir('{tmp_path}/basket_marts')\n"
+    )
+    subprocess.run([sys.executable, "-c", code], check=True, capture_output=True, timeout=300)
+    deadline = time.monotonic() + 60
+    while list(Path(tmp_path, "basket_marts").iterdir()) and time.monotonic() < deadline:
+        time.sleep(0.5)
+    assert not list(Path(tmp_path, "basket_marts").iterdir())
+
+
 def test_scratch_paths_are_new_and_below_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
