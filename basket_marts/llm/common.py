@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basket_marts.operators.joins import measured_bytes
-from basket_marts.session import scratch_path
+from basket_marts.session import remove_folder, scratch_path
 
 # A lookup is broadcast only when its measured size is below this; see `lookup_join`.
 BROADCAST_BYTES = 8 * 1024 * 1024
@@ -23,6 +23,23 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+_STORED: list[str] = []
+
+
+def scratch_mark() -> int:
+    """A mark for `keep_last_stored`."""
+    return len(_STORED)
+
+
+def keep_last_stored(spark: SparkSession, mark: int) -> None:
+    """Remove all that was stored since a mark, but for what was stored last: the frames that it
+    was made from have been read.
+    """
+    for path in _STORED[mark:-1]:
+        remove_folder(spark, path)
+    del _STORED[mark:-1]
+
+
 def stored(frame: DataFrame, label: str) -> DataFrame:
     """Write a frame to the shared scratch folder and read it back: it is computed once,
     its lineage ends, and a lost executor costs nothing that is needed again.
@@ -30,6 +47,7 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     spark = frame.sparkSession
     path = scratch_path(spark, label)
     frame.write.parquet(path)
+    _STORED.append(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 

@@ -74,3 +74,19 @@ def test_all_documents_are_packed(outputs):
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "quality", "line_dedup", "ngram_join", "decontaminate", "packing",
     ]
+
+
+def test_what_a_stage_stored_on_the_way_is_removed(spark, tmp_path):
+    from basket_marts.llm import common
+    from basket_marts.session import folder_exists
+
+    other = common.stored(spark.range(3), "other")
+    mark = common.scratch_mark()
+    middle = common.stored(spark.range(5), "middle")
+    last = common.stored(middle.where("id > 1"), "last")
+    common.keep_last_stored(spark, mark)
+    later = common.stored(last.where("id > 2"), "later")
+    common.keep_last_stored(spark, mark)
+    assert later.count() == 2 and other.count() == 3 and common.scratch_mark() == mark + 1
+    files = (*middle.inputFiles(), *last.inputFiles())
+    assert files and not any(folder_exists(spark, file) for file in files)
