@@ -12,7 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basket_marts.llm import decontaminate, line_dedup, ngram_join, packing, quality
-from basket_marts.llm.common import code_points, documents, stored, vocabulary_path
+from basket_marts.llm.common import (
+    code_points,
+    documents,
+    keep_last_stored,
+    scratch_mark,
+    stored,
+    vocabulary_path,
+)
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -57,10 +64,13 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`; each reads what the one before it has written."""
-    docs = documents(spark, sf_dir)
+    """All stages over `documents`; each reads what the one before it has written, which is then
+    removed with what the stage stored on the way.
+    """
+    docs, mark = documents(spark, sf_dir), scratch_mark()
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), name)
+        keep_last_stored(spark, mark)
     return docs
 
 
