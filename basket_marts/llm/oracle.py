@@ -123,9 +123,10 @@ ORACLE["op2_warc"] = """
         SELECT payload_digest, payload_bytes, max(page_id) AS original
         FROM hashed WHERE payload_bytes >= 1000 GROUP BY ALL)
     SELECT page_id, payload_bytes, payload_digest,
-           CASE WHEN page_id < original THEN 'revisit' ELSE 'response' END AS record_type,
-           CASE WHEN page_id < original THEN original END AS refers_to
-    FROM hashed LEFT JOIN originals USING (payload_digest, payload_bytes)"""
+           CASE WHEN refers THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN refers THEN original END AS refers_to
+    FROM (SELECT *, original IS NOT NULL AND (page_id IS NULL OR page_id < original) AS refers
+          FROM hashed LEFT JOIN originals USING (payload_digest, payload_bytes))"""
 
 
 # Shingles as text; of each text and item that share any, windows at every start in full.

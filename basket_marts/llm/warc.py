@@ -148,7 +148,7 @@ def with_originals(pages: DataFrame) -> DataFrame:
     """(page_id, url, payload, sha1, refers_to): which record each page's payload refers to.
 
     Of equal payloads of `REVISIT_BYTES` or more the largest page_id is kept. Pages that tie
-    there, and pages without an id, are responses themselves.
+    there are responses themselves, and so are pages without an id where none has one.
     """
     payload = F.coalesce(F.encode("html", "UTF-8"), F.lit(b""))
     hashed = pages.select("page_id", "url", payload.alias("payload")).withColumn(
@@ -168,7 +168,9 @@ def with_originals(pages: DataFrame) -> DataFrame:
         "url",
         "payload",
         "sha1",
-        F.when(F.col("page_id") < F.col("original"), F.col("original")).alias("refers_to"),
+        F.when(
+            F.col("page_id").isNull() | (F.col("page_id") < F.col("original")), F.col("original")
+        ).alias("refers_to"),
     )
 
 

@@ -42,7 +42,7 @@ def expected():
     for page_id, _, html in PAGES:
         data = (html or "").encode()
         other = largest.get(html)
-        revisit = page_id is not None and len(data) >= 1000 and page_id < other
+        revisit = len(data) >= 1000 and other is not None and (page_id is None or page_id < other)
         kind = ("revisit", other) if revisit else ("response", None)
         yield (page_id, len(data), hashlib.sha1(data).hexdigest(), *kind)
 
