@@ -44,6 +44,10 @@ def _totals(tables: SharedTables) -> DataFrame:
     return marts.product_totals(_items(tables))
 
 
+def _baskets_of_items(tables: SharedTables, items: DataFrame) -> DataFrame:
+    return marts.orders_with_baskets(tables.orders(), marts.order_baskets(items))
+
+
 def _baskets_of(orders: DataFrame, tables: SharedTables) -> DataFrame:
     return marts.orders_with_baskets(orders, marts.order_baskets(_items(tables)))
 
@@ -170,13 +174,11 @@ def _kept(tables: SharedTables, rows: DataFrame, label: str) -> DataFrame:
 
 @_query
 def dq_report(tables: SharedTables) -> DataFrame:
+    # Only the deduplicated items are stored. The report is one plan, in which Spark reuses the
+    # shuffles of what several marts share.
     items = _kept(tables, _items(tables), "items")
-    baskets = marts.orders_with_baskets(tables.orders(), marts.order_baskets(items))
     frames = batch.mart_frames(
-        items,
-        _kept(tables, _labels(tables), "labels"),
-        _kept(tables, marts.product_totals(items), "totals"),
-        _kept(tables, baskets, "baskets"),
+        items, _labels(tables), marts.product_totals(items), _baskets_of_items(tables, items)
     )
     return quality.quality_report(items, tables.order_slots(), tables.products(), frames)
 
