@@ -6,7 +6,9 @@ no candidate search precedes a comparison.
 
 from __future__ import annotations
 
-from basket_marts.llm import licenses, line_dedup
+import string
+
+from basket_marts.llm import licenses, line_dedup, minhash_join, ngram_join
 
 ORACLE: dict[str, str] = {}
 
@@ -209,6 +211,42 @@ ORACLE["op9_licenses"] = rf"""
     FROM units JOIN known USING (unit) GROUP BY ALL"""
 
 
+def _near_copies(percent: int, columns: str) -> str:
+    """Shingles as text, every pair of texts that shares any, and all that links reach."""
+    upper, lower = string.ascii_uppercase, string.ascii_lowercase
+    return rf"""
+    WITH RECURSIVE worded AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'),
+                   '[^\x20\x09-\x0D]+') AS words
+        FROM documents),
+    shingles AS (
+        SELECT DISTINCT doc_id, unnest(CASE
+                   WHEN len(words) >= 5 THEN list_transform(range(1, len(words) - 3),
+                       lambda i: array_to_string(words[i:i + 4], ' '))
+                   WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END) AS shingle
+        FROM worded),
+    sizes AS (SELECT doc_id, count(*) AS size FROM shingles GROUP BY doc_id),
+    pairs AS (
+        SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS overlap
+        FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+        GROUP BY ALL),
+    links AS (
+        SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+        WHERE 100 * overlap >= {percent} * (x.size + y.size - overlap)),
+    reach AS (
+        SELECT doc_id, doc_id AS other FROM documents
+        UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other),
+    components AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+    SELECT doc_id, coalesce(size, 0) AS n_shingles, component_id{columns}
+    FROM components LEFT JOIN sizes USING (doc_id)"""
+
+
+ORACLE["op7_ngram_join"] = _near_copies(ngram_join.PERCENT, "")
+ORACLE["op12_minhash_join"] = _near_copies(
+    minhash_join.PERCENT, ", doc_id = component_id AS kept"
+)
+
+
 # Prefixes as lists of turns, every node joined to all its ancestors. CRC-32 bit by bit.
 _CRC_STEP = "(CASE WHEN i % 8 = 0 THEN xor(crc, ascii(digits[i // 8 + 1])) ELSE crc END)"
 ORACLE["op11_prefix_trie"] = f"""
