@@ -2,8 +2,7 @@
 
 Lines are parsed into quote levels (`>`, `> >`, ...). Runs of lines of one level are
 passages; the normalised passage is hashed, and so are its lines, its sentences and its runs of
-2, 4, 8, ... sentences. The original of a
-passage is the first message of the conversation that holds it unquoted. A message answers
+2, 4, 8, ... sentences, each run from its halves' hashes. The original of a passage is the first message of the conversation that holds it unquoted. A message answers
 the message that its outermost matched quotes come from. Ordering by `reply_path` puts
 every message below the one it answers; `body` is its text without quotes.
 """
@@ -43,64 +42,92 @@ def quote_levels(text: str) -> list[tuple[int, str]]:
     return found
 
 
-def sentence_runs(text: str) -> Iterator[str]:
-    """Each sentence of a normalised text, and all its runs of 2, 4, 8, ... sentences.
-
-    Any run of sentences is two of these that overlap, so a quote of some sentences shares
-    its longest ones with the text it is from; there are n log n for n sentences.
-    """
-    sentences = [s for s in SENTENCE_END.split(text) if s]
-    length = 1
-    while length <= len(sentences):
-        for start in range(len(sentences) - length + 1):
-            yield " ".join(sentences[start : start + length])
-        length *= 2
-
-
 def passages(lines: list[tuple[int, str]]) -> set[tuple[int, str]]:
-    """(level, normalised text) of each run of lines of one level, each paragraph of it, each
-    line, and runs of sentences, so that quotes of parts and re-wrapped quotes find their
-    original too.
+    """(level, normalised text) of each run of lines of one level, each paragraph of it and each
+    line, so that quotes of parts and re-wrapped quotes find their original too.
     """
     found = set()
     for level, run in groupby(lines, key=lambda line: line[0]):
         texts = [text for _, text in run]
         whole = "\n".join(texts)
         units = (whole, *re.split(r"\n[ \t]*\n", whole), *texts)
-        normal = dict.fromkeys(" ".join(unit.lower().split()) for unit in units)
-        for unit in normal:
-            found.add((level, unit))
-            found.update((level, part) for part in sentence_runs(unit))
+        found.update((level, " ".join(unit.lower().split())) for unit in units)
     return {(level, unit) for level, unit in found if unit}
 
 
+def _digest(data: bytes) -> bytes:
+    return hashlib.blake2b(data, digest_size=16).digest()
+
+
+def passage_hashes(text: str) -> set[bytes]:
+    """Hashes of a normalised text as a sequence of sentences, of each sentence, and of all its
+    runs of 2, 4, 8, ... sentences.
+
+    Any run of sentences is two of these that overlap, so a quote of some sentences shares
+    its longest ones with the text it is from. A run is hashed from the hashes of its halves:
+    there are n log n hashes for n sentences, and no text is put together again.
+    """
+    runs = [[_digest(s.encode()) for s in SENTENCE_END.split(text) if s]]
+    n, half = len(runs[0]), 1
+    while 2 * half <= n:
+        before = runs[-1]
+        runs.append([_digest(before[i] + before[i + half]) for i in range(n - 2 * half + 1)])
+        half *= 2
+    # The whole is told by its longest runs of such lengths, from the left.
+    parts, at = [], 0
+    for power in range(len(runs) - 1, -1, -1):
+        if n >> power & 1:
+            parts.append(runs[power][at])
+            at += 1 << power
+    found = {run for of_length in runs for run in of_length}
+    return found | {parts[0] if len(parts) == 1 else _digest(b"".join(parts))} if parts else found
+
+
+def _hashes_of(lines: list[tuple[int, str]]) -> tuple[list[int], list[bytes]]:
+    found = {(level, run) for level, unit in passages(lines) for run in passage_hashes(unit)}
+    return [level for level, _ in found], [run for _, run in found]
+
+
 def parsed(messages: DataFrame) -> DataFrame:
-    """(conv_id, turn, role, body, passages) of each message; passages are (level, hash)."""
+    """(conv_id, turn, role, body, passages) of each message; passages are (level, hash), and
+    there are none where nobody in the conversation quotes anything.
+    """
+    marked = F.coalesce(F.col("text").rlike(r"(?:^|[\r\n])[ \t]*>"), F.lit(False))
+    quoting = stored(
+        messages.where(marked & F.col("conv_id").isNotNull())
+        .select("conv_id", F.lit(True).alias("is_quoting"))
+        .distinct(),
+        "quoting",
+    )
+    rows = lookup_join(messages.select("conv_id", "turn", "role", "text"), quoting, "conv_id", "left")
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
-            bodies, found = [], []
-            for text in batch.column("text").fill_null("").to_pylist():
+            bodies, ends, levels, hashes = [], [0], [], []
+            texts = batch.column("text").fill_null("").to_pylist()
+            for text, is_quoting in zip(texts, batch.column("is_quoting").to_pylist()):
                 lines = quote_levels(text)
                 bodies.append("\n".join(line for level, line in lines if not level).strip())
-                found.append(
-                    [
-                        {"level": level, "hash": hashlib.sha256(unit.encode()).hexdigest()}
-                        for level, unit in sorted(passages(lines))
-                    ]
-                )
-            kind = pa.list_(pa.struct([("level", pa.int32()), ("hash", pa.string())]))
+                if is_quoting:
+                    own_levels, own_hashes = _hashes_of(lines)
+                    levels += own_levels
+                    hashes += own_hashes
+                ends.append(len(levels))
+            units = pa.StructArray.from_arrays(
+                [pa.array(levels, pa.int32()), pa.array(hashes, pa.binary())], ["level", "hash"]
+            )
+            found = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), units)
             columns = [batch.column(c) for c in ("conv_id", "turn", "role")]
             yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(bodies, pa.string()), pa.array(found, kind)],
+                [*columns, pa.array(bodies, pa.string()), found],
                 names=["conv_id", "turn", "role", "body", "passages"],
             )
 
     schema = (
         "conv_id bigint, turn bigint, role string, body string, "
-        "passages array<struct<level:int,hash:string>>"
+        "passages array<struct<level:int,hash:binary>>"
     )
-    return messages.select("conv_id", "turn", "role", "text").mapInArrow(parse, schema)
+    return rows.mapInArrow(parse, schema)
 
 
 def reply_links(messages: DataFrame) -> DataFrame:

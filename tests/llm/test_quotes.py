@@ -1,5 +1,14 @@
+import random
+import tracemalloc
+
 from basket_marts.llm.queries import QUERIES
-from basket_marts.llm.quotes import in_reply_order, linked_conversations, passages, quote_levels
+from basket_marts.llm.quotes import (
+    in_reply_order,
+    linked_conversations,
+    passage_hashes,
+    passages,
+    quote_levels,
+)
 
 SCHEMA = "conv_id bigint, turn bigint, role string, text string"
 THREAD = [
@@ -94,3 +103,62 @@ def test_sentences_quoted_from_the_middle_of_a_line(spark):
     ]
     found = linked_conversations(spark.createDataFrame(rows, SCHEMA)).collect()
     assert {r.turn: r.reply_to for r in found} == {0: None, 1: None, 2: 1, 3: 1, 4: 1, 5: None}
+
+
+def test_hashes_tell_sequences_of_sentences():
+    text = [f"sentence {i}." for i in range(13)]
+    own = passage_hashes(" ".join(text))
+    assert len(own) == 13 + 12 + 10 + 6 + 1
+    for first in range(13):
+        for last in range(first + 1, 14):
+            part = passage_hashes(" ".join(text[first:last]))
+            # All runs of a part are runs of the whole, but for the part itself if it is of
+            # another length than 1, 2, 4, ...
+            assert len(part - own) <= (last - first not in (1, 2, 4, 8, 13))
+    assert not passage_hashes("sentence 2. sentence 1.") <= own
+    assert passage_hashes("") == set()
+
+
+def test_many_sentences_take_little_memory():
+    text = " ".join(f"this is the sentence of number {i} and no other." for i in range(20_000))
+    tracemalloc.start()
+    found = passage_hashes(text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(text) > 900_000 and len(found) > 200_000 and peak < 150 << 20
+
+
+def brute_force(messages):
+    """Links by comparing every quoted passage, part by part, with all earlier messages."""
+    hashes = {}
+    for turn, text in messages:
+        for level, unit in passages(quote_levels(text)):
+            hashes.setdefault(turn, set()).update((level, h) for h in passage_hashes(unit))
+    links = {}
+    for turn, _ in messages:
+        votes = {}
+        for level, unit in hashes.get(turn, ()):
+            if level:
+                holders = [t for t, _ in messages if (0, unit) in hashes.get(t, ())]
+                if holders and min(holders) < turn:
+                    votes.setdefault(level, []).append(min(holders))
+        best = votes[min(votes)] if votes else []
+        links[turn] = max(best, key=lambda t: (best.count(t), t)) if best else None
+    return links
+
+
+def test_random_threads_against_brute_force(spark):
+    rng = random.Random(6)
+    for conv in range(3):
+        messages = []
+        for turn in range(25):
+            own = " ".join(f"{rng.choice('abcdef')} says {rng.randint(0, 30)}." for _ in range(rng.randint(1, 6)))
+            quoted = []
+            for _, text in rng.sample(messages, min(len(messages), rng.randint(0, 2))):
+                sentences = text.splitlines()[-1].split(". ")
+                first = rng.randrange(len(sentences))
+                quoted.append("> " * rng.randint(1, 2) + ". ".join(sentences[first : first + rng.randint(1, 4)]))
+            messages.append((turn, "\n".join([*quoted, own])))
+        frame = spark.createDataFrame([(conv, t, "u", text) for t, text in messages], SCHEMA)
+        found = {r.turn: r.reply_to for r in linked_conversations(frame).collect()}
+        assert found == brute_force(messages) and any(v is not None for v in found.values())
