@@ -331,8 +331,10 @@ def csv_split_counts(tables: SharedTables) -> DataFrame:
 
 # Late drops and corrected weekdays ------------------------------------------------------
 
-# Few ids to a range, so that small tables have several.
+# Few ids to a range, so that small tables have several, and a bound on the ranges of large
+# ones: each is a folder of every table, whose files are opened, listed and moved one by one.
 DROP_SPAN = 4096
+MOST_RANGES = 128
 
 
 def _new_folder(tables: SharedTables, label: str) -> str:
@@ -341,10 +343,19 @@ def _new_folder(tables: SharedTables, label: str) -> str:
     return root
 
 
-def _drops(items: DataFrame) -> list[DataFrame]:
+def _drop_span(*tables: DataFrame) -> int:
+    """Ids to a range: `DROP_SPAN`, or as many times more as leave `MOST_RANGES` at most."""
+    ids = reduce(DataFrame.unionByName, (t.select("order_id") for t in tables))
+    span = DROP_SPAN
+    while (n_ranges := ids.agg(F.count_distinct(merging.order_range(span))).first()[0]) > MOST_RANGES:
+        span = min(span * -(-n_ranges // MOST_RANGES), 1 << 62)
+    return span
+
+
+def _drops(items: DataFrame, span: int) -> list[DataFrame]:
     """Three drops: half of the items, and the rest in ranges of even and of odd number."""
     late = F.col("add_to_cart_order") % 2 == 0
-    even = merging.order_range(DROP_SPAN) % 2 == 0
+    even = merging.order_range(span) % 2 == 0
     return [items.where(~late), items.where(late & even), items.where(late & ~even)]
 
 
@@ -353,8 +364,9 @@ def merged_items(tables: SharedTables) -> DataFrame:
     """Cleaned items of the dirty view as three drops left them, each merged into what it touched."""
     items = cleaning.tagged_items(tables.prior_items(dirty=True), tables.train_items(dirty=True))
     table = merging.items_by_range(tables.spark, _new_folder(tables, "merged-items"))
-    for drop in _drops(items):
-        merging.merge_items(table, drop, DROP_SPAN)
+    span = _drop_span(items)
+    for drop in _drops(items, span):
+        merging.merge_items(table, drop, span)
     return table.rows().drop(merging.RANGE)
 
 
@@ -402,13 +414,14 @@ def merged_department_orders(tables: SharedTables) -> DataFrame:
 def _state_after_drops(tables: SharedTables, label: str) -> tuple[BasketState, DataFrame]:
     root = _new_folder(tables, label)
     items = merging.items_by_range(tables.spark, f"{root}/items")
-    state = BasketState(tables.spark, f"{root}/state", items, DROP_SPAN)
     labels = _kept(tables, _labels(tables), f"{label}-labels")
-    orders = tables.order_slots()
-    first, *late = _drops(tables.tagged_items())
-    merging.merge_items(items, first, DROP_SPAN)
+    orders, tagged = tables.order_slots(), tables.tagged_items()
+    span = _drop_span(orders, tagged)
+    state = BasketState(tables.spark, f"{root}/state", items, span)
+    first, *late = _drops(tagged, span)
+    merging.merge_items(items, first, span)
     # Orders that have no item yet count as well.
-    ranges = items.values_of(orders.withColumn(merging.RANGE, merging.order_range(DROP_SPAN)))
+    ranges = items.values_of(orders.withColumn(merging.RANGE, merging.order_range(span)))
     state.refresh(labels, orders, ranges)
     for drop in late:
         state.take_in(drop, labels, orders)

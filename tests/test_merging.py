@@ -19,6 +19,8 @@ from basket_marts.operators import (
 from basket_marts.plans import marts, merging
 from basket_marts.plans.cleaning import clean_items, clean_orders
 from basket_marts.plans.incremental import BasketState
+from basket_marts.queries import DROP_SPAN, MOST_RANGES, QUERIES, _drop_span
+from basket_marts.session import session_path
 from basket_marts.sources import PartitionedTable
 
 ITEMS = "order_id bigint, product_id bigint, add_to_cart_order int, reordered int, eval_set string"
@@ -170,6 +172,26 @@ def test_states_follow_drops(spark, tmp_path):
         assert as_rows(state.hourly_demand()) == as_rows(marts.hourly_demand(baskets))
 
 
+@pytest.mark.parametrize("step", [5000, 1 << 50])
+def test_drops_of_many_ids_have_a_number_of_ranges(spark, step):
+    ids = spark.range(MOST_RANGES + 60).selectExpr(f"nullif(id, 7) * {step} AS order_id")
+    span = _drop_span(ids.limit(40), ids)
+    assert ids.select(merging.order_range(span)).distinct().count() <= MOST_RANGES + 1
+    assert _drop_span(spark.range(9 * DROP_SPAN).toDF("order_id")) == DROP_SPAN
+
+
+def test_merged_items_lie_in_a_number_of_ranges(spark, tmp_path):
+    n = MOST_RANGES + 60
+    spark.range(3 * n).selectExpr(
+        f"id % {n} * 5000 AS l_orderkey", "id % 5 AS l_partkey", f"int(id / {n}) AS l_linenumber",
+        "if(id % 3 = 0, 'R', 'N') AS l_returnflag", "if(id % 2 = 0, 'F', 'O') AS l_linestatus",
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    found = QUERIES["merged_items"](spark, str(tmp_path))
+    assert as_rows(found) == as_rows(QUERIES["clean_order_products"](spark, str(tmp_path)))
+    items = Path(session_path(spark, "merged-items", str(tmp_path)))
+    assert 1 < len([*items.glob("order_range=*")]) <= MOST_RANGES
+
+
 # Sketches ------------------------------------------------------------------------------
 
 
