@@ -14,6 +14,7 @@ Nothing is shuffled: a task packs the rows it reads, and a re-run packs them ali
 from __future__ import annotations
 
 import heapq
+import struct
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -38,6 +39,10 @@ SLICE_BYTES = 1 << 20
 # Fixed value: the pattern of this vocabulary file for pieces of lower-case text.
 WORD_PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
+# Marks that this pattern takes together, behind letters too: not the quote, nor what the
+# vocabulary's special strings begin and end with.
+MARKS = "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
+
 _ID = np.dtype("<u4")
 
 
@@ -154,17 +159,16 @@ class Packer:
         yield from pack_group([p for p in waiting if len(p)], self.capacity)
 
 
-class TextIds:
-    """Ids of whole texts, put together from remembered ids of their words.
+class WordIds(dict):
+    """Ids by word: those of a word that is not there are found when it is asked for.
 
-    The vocabulary drops white space and its patterns never match across it, so a text's
-    ids are those of its words between spaces and line feeds. A word not met before is
-    normalised and cut as the vocabulary file says, and its pieces go through the library's
-    model; one that holds a special string or other than Latin letters goes through the
-    library as it is.
+    A word not met before is normalised and cut as the vocabulary file says, and its pieces
+    go through the library's model; one that holds a special string or other than Latin
+    letters goes through the library as it is. Long words are remembered for one text.
     """
 
     def __init__(self, path: str):
+        super().__init__()
         self.tokenizer = library_tokenizer(path)
         self.model = self.tokenizer.model
         self.of_byte = dict(enumerate(byte_symbols()))
@@ -172,41 +176,65 @@ class TextIds:
         specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         # Outside Latin letters, libraries may know different versions of Unicode.
         self.by_library = regex.compile("|".join([r"[^\0-\u024f]", *map(regex.escape, specials)]))
-        self.words: dict[str, bytes] = {"": b""}
         self.pieces: dict[str, bytes] = {}
+        self.long: dict[str, bytes] = {}
+
+    def __missing__(self, word: str) -> bytes:
+        if len(word) <= REMEMBERED_LENGTH:
+            self[word] = ids = self._word_ids(word)
+            return ids
+        ids = self.long.get(word)
+        if ids is None:
+            self.long[word] = ids = self._word_ids(word)
+        return ids
 
     def _piece_ids(self, piece: str) -> bytes:
         ids = self.pieces.get(piece)
         if ids is None:
-            symbols = piece.encode("utf-8").decode("latin-1").translate(self.of_byte)
-            tokens = self.model.tokenize(symbols)
-            ids = np.array([t.id for t in tokens], dtype=_ID).tobytes()
+            symbols = piece
+            if not (piece.isascii() and piece.isprintable()):
+                symbols = piece.encode("utf-8").decode("latin-1").translate(self.of_byte)
+            found = [t.id for t in self.model.tokenize(symbols)]
+            ids = struct.pack(f"<{len(found)}I", *found)
             if len(piece) <= REMEMBERED_LENGTH:
                 self.pieces[piece] = ids
         return ids
 
     def _word_ids(self, word: str) -> bytes:
+        # Most words are letters, then marks: one piece each, and no special string is so.
+        if word.isascii() or max(word) <= "\u024f":
+            lowered = unicodedata.normalize("NFC", word).lower()
+            stem = lowered.rstrip(MARKS)
+            if stem.isalpha():
+                marks = lowered[len(stem) :]
+                return self._piece_ids(stem) + (self._piece_ids(marks) if marks else b"")
         if self.by_library.search(word):
             ids = self.tokenizer.encode(word, add_special_tokens=False).ids
             return np.array(ids, dtype=_ID).tobytes()
         lowered = unicodedata.normalize("NFC", word).lower()
         return b"".join(map(self._piece_ids, self.piece.findall(lowered)))
 
+
+class TextIds:
+    """Ids of whole texts, put together from remembered ids of their words.
+
+    The vocabulary drops white space and its patterns never match across it, so a text's
+    ids are those of its words between spaces and line feeds.
+    """
+
+    def __init__(self, path: str):
+        self.words = WordIds(path)
+
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
-        if len(self.words) > REMEMBERED_WORDS:
-            self.words = {"": b""}
-        if len(self.pieces) > REMEMBERED_PIECES:
-            self.pieces = {}
+        words = self.words
+        if len(words) > REMEMBERED_WORDS:
+            words.clear()
+        if len(words.pieces) > REMEMBERED_PIECES:
+            words.pieces.clear()
+        words[""] = b""
         for text in texts:
-            words = text.replace("\n", " ").split(" ")
-            long = {}
-            for word in set(words).difference(self.words):
-                into = self.words if len(word) <= REMEMBERED_LENGTH else long
-                into[word] = self._word_ids(word)
-            if long:
-                yield b"".join([long[w] if w in long else self.words[w] for w in words])
-            else:
-                yield b"".join(map(self.words.__getitem__, words))
+            yield b"".join(map(words.__getitem__, text.replace("\n", " ").split(" ")))
+            words.long.clear()
 
 
 @remembered

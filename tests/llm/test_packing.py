@@ -80,6 +80,27 @@ def test_ids_of_odd_texts(text):
     assert b"".join(TextIds(PATH)([text])) == np.array(library_ids(text), dtype="<u4").tobytes()
 
 
+def test_words_of_letters_and_marks_are_not_searched():
+    text_ids = TextIds(PATH)
+    plain = "The END.!! àÉß, ªx$$$ ǅ(_) zz;\nthe"
+    # Neither a search for special strings nor the vocabulary's pattern is needed for these.
+    text_ids.words.by_library = text_ids.words.piece = None
+    assert b"".join(text_ids([plain])) == np.array(library_ids(plain), dtype="<u4").tobytes()
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(alphabet="aZéßİȺª'sltm.,!|<>$_ \n\t1²½·\u0301\x1c", max_size=40))
+def test_ids_of_words_with_marks(text):
+    assert b"".join(TextIds(PATH)([text])) == np.array(library_ids(text), dtype="<u4").tobytes()
+
+
+def test_long_words_are_remembered_for_one_text():
+    text_ids, text = TextIds(PATH), f"{'ab' * 90} x {'ab' * 90} {'é,' * 70}"
+    expected = np.array(library_ids(text), dtype="<u4").tobytes()
+    assert list(text_ids([text, "", text])) == [expected, b"", expected]
+    assert not text_ids.words.long and max(map(len, text_ids.words)) <= 64
+
+
 def check_pieces(rows, ids_of_rows):
     """Every id in one piece, windows gapless and within capacity."""
     sequences = defaultdict(list)
