@@ -1,5 +1,7 @@
+import random
 from pathlib import Path
 
+from basket_marts.llm import line_dedup
 from basket_marts.llm.line_dedup import drop_recurring_lines
 from basket_marts.session import session_root
 
@@ -149,3 +151,56 @@ def test_a_leaf_of_many_lines_takes_time_in_proportion(spark):
     seconds(500)
     small, large = seconds(2000), seconds(8000)
     assert large < 3 * small + 2
+
+
+def test_a_variant_meets_a_template_that_is_not_the_most_frequent(spark):
+    """Each run of the variant is in a commoner template, and in the one that it goes with."""
+    words = "go to the one two three four five six seven eight nine".split()
+    changed = [*words[:11], "ten"]
+    rows = [(i, " ".join(words)) for i in range(3)] + [(10, " ".join(changed))]
+    others = ["alpha beta gamma", "delta epsilon zeta", "eta theta iota"]
+    for i in range(3):
+        other = [*words[:3], *" ".join(others).split()]
+        other[3 + 3 * i : 6 + 3 * i] = changed[3 + 3 * i : 6 + 3 * i]
+        rows += [(20 + 10 * i + k, " ".join(other)) for k in range(8)]
+    texts = kept(spark, rows)
+    assert [i for i, text in texts.items() if text] == [0, 20, 30, 40]
+
+
+def near_by_hand(rare, recurring):
+    found = {}
+    for leaf, line in rare:
+        for other_leaf, template, keeper in recurring:
+            pairs = list(zip(line.split(), template.split(), strict=False))
+            if leaf == other_leaf and sum(a == b for a, b in pairs) >= 0.8 * len(pairs):
+                found[line] = min(keeper, found.get(line, keeper))
+    return found
+
+
+def test_all_templates_of_a_leaf_are_met(spark, monkeypatch):
+    """Against comparing every line with every template, of few words and of many."""
+    rng, rare, recurring = random.Random(4), set(), {}
+    for n, n_words in ((5, 12), (8, 3), (12, 2), (12, 4), (12, 40), (30, 2)):
+        head, keepers = f"h{n} h{n_words} h", list(range(150))
+        base = [[f"w{p}x{k}" for k in range(n_words)] for p in range(n - 3)]
+        rng.shuffle(keepers)
+        for keeper in keepers:
+            recurring[" ".join([head, *map(rng.choice, base)])] = (n * 100 + n_words, keeper // 2)
+        for template in rng.sample([t for t in recurring if t.startswith(head + " ")], 60):
+            tokens = template.split()
+            for _ in range(rng.randint(0, n // 5 + 1)):
+                place = rng.randrange(3, n)
+                tokens[place] = rng.choice([*base[place - 3], "new"])
+            rare.add((n * 100 + n_words, " ".join(tokens)))
+    recurring = [(leaf, text, keeper) for text, (leaf, keeper) in recurring.items()]
+    lines = spark.createDataFrame(sorted(rare), "leaf bigint, line string").selectExpr(
+        "*", "xxhash64(line) AS line_hash", "xxhash64(7, line) AS line_check"
+    )
+    templates = spark.createDataFrame(recurring, "leaf bigint, template string, keeper bigint")
+    expected = near_by_hand(rare, recurring)
+    for crowd in (0, line_dedup.CROWD, 10**9):
+        monkeypatch.setattr(line_dedup, "CROWD", crowd)
+        near = line_dedup._near(lines, templates).groupBy("line_hash").agg({"keeper": "min"})
+        rows = near.join(lines, "line_hash").select("line", "min(keeper)").collect()
+        assert {r[0]: r[1] for r in rows} == expected
+    assert 200 < len(expected) < len(rare)
